@@ -15,13 +15,15 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WS = f"[{_SPACES}]"
 
+_ODD_SPACES = _SPACES.replace(r"\x1c-\x20", r"\x1c-\x1f")
+
 # fixed values: the markup the source data uses
 BREAK = f"(?i)<br{_WS}*/?>"
 STRONG_PAIR = "(?id)<strong>.*?</strong>"
-STRONG_OPEN = f"(?i)<strong(?:{_WS}[^>]*)?>"
-STRONG_CLOSE = f"(?i)</strong{_WS}*>"
+STRONG_OPEN = f"(?is)<strong(?:{_WS}[^>]*)?>"
+STRONG_CLOSE = f"(?is)</strong{_WS}*>"
 NOTE_PLAIN = "(?i)<b>note:</b>"
-NOTE_TAG = f"(?i)<b(?:{_WS}[^>]*)?>[^<]*note:[^<]*</b>"
+NOTE_TAG = f"(?is)<b(?:{_WS}[^>]*)?>[^<]*note:[^<]*</b>"
 
 SIMPLE = "simple"
 KEY_WITH_SUB_VALUES = "key_with_sub_values"
@@ -29,9 +31,9 @@ KEY_VALUE_PAIRS = "key_value_pairs"
 KEY_VALUE_PAIRS_WITH_NOTES = "key_value_pairs_with_notes"
 STRUCTURE_TYPES = (SIMPLE, KEY_WITH_SUB_VALUES, KEY_VALUE_PAIRS, KEY_VALUE_PAIRS_WITH_NOTES)
 
-# One separator is a run of breaks with the white space around them, so splitting on it gives
-# trimmed, non-blank parts at once.  The lookbehind and the possessive loop keep it linear.
-_BREAK_RUN = f"(?i)(?<!{_WS}){_WS}*+<br{_WS}*/?>(?:{_WS}|<br{_WS}*/?>)*+"
+# A break with all white space and further breaks behind it; the loop is possessive, so it neither
+# backtracks nor recurses.
+_BREAK_RUN = f"(?i)<br{_WS}*/?>(?:{_WS}|<br{_WS}*/?>)*+"
 
 # Elements that wrap key/value pairs; a value ends where the wrapper of its key closes.  The
 # pattern walks over text, other tags and complete wrapper elements up to a closing tag that has
@@ -54,14 +56,49 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def strip_end(text: Column) -> Column:
+    return F.rtrim(text, F.lit(WHITESPACE))
+
+
+def _split(text: Column, pattern: str, plain: str) -> Column:
+    """Split on ``pattern``.
+
+    ``split`` compiles its pattern for every row, ``regexp_replace`` keeps it compiled; so every
+    match first becomes ``plain``, one of the strings that match, and that is cheap to split on.
+    """
+    return F.split(F.regexp_replace(text, pattern, plain), plain, -1)
+
+
+def _before(text: Column, pattern: str) -> Column:
+    """Text before the first match, all of it without one."""
+    return F.regexp_replace(text, f"{pattern}.*$", "")
+
+
+def _behind(text: Column, pattern: str) -> Column:
+    """Text behind the first match, empty without one."""
+    return F.regexp_extract(text, f"{pattern}(.*)$", 1)
+
+
 def strip_colons(text: Column) -> Column:
     """Remove all trailing colons, then white space."""
     return strip(F.rtrim(strip(text), F.lit(":")))
 
 
+# a single plain space between words needs no replacement, so neither pattern matches it
+_SPACE_RUN = f"(?: {_WS}|[{_ODD_SPACES}]){_WS}*+"
+_BREAK_OR_SPACE_RUN = (
+    f"(?i)(?: (?:{_WS}|<br{_WS}*/?>)|[{_ODD_SPACES}]|<br{_WS}*/?>)(?:{_WS}|<br{_WS}*/?>)*+"
+)
+
+
 def collapse_whitespace(text: Column) -> Column:
     """Turn every run of white space into one space and strip the ends."""
-    return strip(F.regexp_replace(text, f"{_WS}+", " "))
+    return strip(F.regexp_replace(text, _SPACE_RUN, " "))
+
+
+def flat_text(html: Column) -> Column:
+    """``collapse_whitespace`` with breaks counting as white space."""
+    return strip(F.regexp_replace(html, _BREAK_OR_SPACE_RUN, " "))
 
 
 def strip_tags(html: Column) -> Column:
@@ -83,10 +120,17 @@ def decode_entities(text: Column) -> Column:
     return text
 
 
+def break_parts(data: Column) -> Column:
+    """Non-blank parts between break tags, with their trailing white space still on.
+
+    Cheaper than ``split_values`` when the array is exploded anyway: use ``strip_end`` on the rows.
+    """
+    return F.array_remove(_split(strip(_text(data)), _BREAK_RUN, "<br>"), "")
+
+
 def split_values(data: Column) -> Column:
     """Parts between break tags, stripped, blanks dropped; empty array for null."""
-    parts = F.split(strip(_text(data)), _BREAK_RUN, -1)
-    return F.array_remove(parts, "")
+    return F.transform(break_parts(data), strip_end)
 
 
 def has_breaks(data: Column) -> Column:
@@ -119,75 +163,57 @@ def is_multi_valued(kind: Column, n_values: Column, notes_multi_valued: bool = F
 
 
 def _drop_first(pieces: Column) -> Column:
-    return F.slice(pieces, 2, F.size(pieces))
+    # longer than any array; the sum of start and length must stay an int
+    return F.slice(pieces, 2, 2**30)
 
 
 def strong_segments(data: Column) -> Column:
     """The text behind each strong tag, up to the next one; text before the first is dropped."""
-    return _drop_first(F.split(_text(data), STRONG_OPEN, -1))
+    return _drop_first(_split(_text(data), STRONG_OPEN, "<strong>"))
 
 
 def note_segments(data: Column) -> Column:
     """The text behind each note tag."""
-    return _drop_first(F.split(_text(data), NOTE_TAG, -1))
-
+    return _drop_first(_split(_text(data), NOTE_TAG, "<b>note:</b>"))
 
-def _siblings(html: Column) -> Column:
-    """Cut ``html`` where the element around its start closes."""
-    return F.regexp_replace(html, _PARENT_END, "$1")
 
+def key_html(segment: Column) -> Column:
+    """The inside of the strong tag that opens ``segment``."""
+    return _before(segment, STRONG_CLOSE)
 
-def _flat_text(html: Column) -> Column:
-    return collapse_whitespace(F.regexp_replace(html, BREAK, " "))
 
+def key_text(html: Column) -> Column:
+    """Text of a key without markup and trailing colons; pass a named column."""
+    return strip_colons(F.when(F.contains(html, F.lit("<")), strip_tags(html)).otherwise(html))
 
-def segment_key(segment: Column) -> Column:
-    """Text inside the strong tag that opens ``segment``, without trailing colons."""
-    return strip_colons(strip_tags(F.split(segment, STRONG_CLOSE, 2)[0]))
 
+def pair_content(segment: Column) -> Column:
+    """What follows the strong tag that opens ``segment``."""
+    return _behind(segment, STRONG_CLOSE)
 
-def _after_key(segment: Column) -> Column:
-    return _siblings(F.coalesce(F.get(F.split(segment, STRONG_CLOSE, 2), F.lit(1)), F.lit("")))
 
-
-def segment_value(segment: Column) -> Column:
-    """What follows the strong tag, breaks as spaces."""
-    return _flat_text(_after_key(segment))
-
-
-def segment_value_before_note(segment: Column) -> Column:
-    """As ``segment_value``, but ending at the first note tag."""
-    return _flat_text(F.split(_after_key(segment), NOTE_TAG, 2)[0])
+def note_content(segment: Column) -> Column:
+    """What follows a note tag, up to the next strong tag."""
+    return _before(segment, STRONG_OPEN)
 
 
-def note_value(segment: Column) -> Column:
-    """What follows a note tag, up to the next strong tag."""
-    return _flat_text(_siblings(F.split(segment, STRONG_OPEN, 2)[0]))
+def within_parent(html: Column) -> Column:
+    """Cut ``html`` where the element around its start closes; pass a named column."""
+    return F.when(F.contains(html, F.lit("</")), F.regexp_replace(html, _PARENT_END, "$1")).otherwise(
+        html
+    )
 
 
-def _first_segment(data: Column) -> Column:
-    return F.coalesce(F.get(F.split(_text(data), STRONG_OPEN, 2), F.lit(1)), F.lit(""))
+def before_note(html: Column) -> Column:
+    return _before(html, NOTE_TAG)
 
 
 def sub_value_key(data: Column) -> Column:
     """Key of the first strong tag; may be empty."""
-    return segment_key(_first_segment(data))
-
-
-def sub_value_parts(data: Column) -> Column:
-    """Break-separated parts behind the first strong tag."""
-    return split_values(_after_key(_first_segment(data)))
+    return strip_colons(strip_tags(key_html(_behind(_text(data), STRONG_OPEN))))
 
 
-def pieces(data: Column, kind: Column) -> Column:
-    """Array of raw pieces for any structure type, in value order.
-
-    For pairs with notes the note pieces follow the pair pieces, so that the position in the array
-    is the value's order for every type.
-    """
-    return (
-        F.when(kind == SIMPLE, split_values(data))
-        .when(kind == KEY_WITH_SUB_VALUES, sub_value_parts(data))
-        .when(kind == KEY_VALUE_PAIRS, strong_segments(data))
-        .otherwise(F.concat(strong_segments(data), note_segments(data)))
-    )
+def sub_value_html(data: Column) -> Column:
+    """What follows the first strong tag, within its parent."""
+    content = pair_content(_behind(_text(data), STRONG_OPEN))
+    return F.regexp_replace(content, _PARENT_END, "$1")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 ESTIMATED_YEAR = r"\(([0-9]{4}) est\.\)"
 PLAIN_YEAR = r"\(([0-9]{4})\)"
 ANY_YEAR = r"\([0-9]{4}(?: est\.)?\)"
+_ANY_YEAR_DIGITS = r"\(([0-9]{4})(?: est\.)?\)"
 MAX_VALUE_LENGTH = 120
 MAX_YEARS_IN_VALUE = 1
 
@@ -42,8 +43,14 @@ def extract_year_smart(
     max_years: int = MAX_YEARS_IN_VALUE,
 ) -> Column:
     """The year of a plain data point, null for descriptive text."""
-    # the cheap search runs first: most values carry no year and stop there
+    has_year = value.rlike(ANY_YEAR)
+    if max_years == 1:
+        # with a single match its form does not matter; most values have none and stop at once
+        several = value.rlike(f"(?s){ANY_YEAR}.*{ANY_YEAR}")
+        is_short = F.char_length(value) <= max_length
+        return F.when(
+            has_year & is_short & ~several, F.regexp_extract(value, _ANY_YEAR_DIGITS, 1)
+        )
     return F.when(
-        value.rlike(ANY_YEAR) & should_extract_year(value, max_length, max_years),
-        extract_year(value),
+        has_year & should_extract_year(value, max_length, max_years), extract_year(value)
     )

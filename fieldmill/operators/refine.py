@@ -1,11 +1,9 @@
 """Refinement: field text to structured values.
 
-Two forms share the same text functions:
-
-* ``value_rows`` explodes the text into one row per value.  It is the bulk path: built-in
-  expressions only, all inside generated code, no shuffle.
-* ``refine_fields`` / ``refine_documents`` keep the values as an array inside the row, for the
-  nested output and for counts per field.  Also without a shuffle.
+The values of a field are built as an array inside its row, so refinement never shuffles; the long
+table is that array exploded.  The array expressions are higher-order functions on purpose: as
+exploded rows the same patterns fuse into one generated method that is too long for the JIT
+compiler and runs several times slower.
 """
 
 from __future__ import annotations
@@ -18,65 +16,88 @@ from fieldmill.functions.numbers import percentage
 from fieldmill.functions.years import extract_year_smart
 
 
-def _value(
-    value: Column | None = None,
-    order: Column | int = 0,
-    key: Column | None = None,
-    sub_values: Column | None = None,
-) -> Column:
-    null_text = F.lit(None).cast("string")
-    order = F.lit(order) if isinstance(order, int) else order
-    no_subs = F.lit(None).cast("array<struct<value:string,year:string>>")
+def _value(value: Column, order: Column, key: Column | None = None) -> Column:
     return F.struct(
-        (null_text if key is None else key).alias("key"),
-        (null_text if value is None else value).alias("value"),
-        (null_text if value is None else extract_year_smart(value)).alias("year"),
+        (F.lit(None).cast("string") if key is None else key).alias("key"),
+        value.alias("value"),
+        extract_year_smart(value).alias("year"),
         order.cast("int").alias("order"),
-        (no_subs if sub_values is None else sub_values).alias("sub_values"),
+        F.lit(None).cast("array<struct<value:string,year:string>>").alias("sub_values"),
     )
 
 
-def _keyed(segments: Column, key, value) -> Column:
-    """Values of keyed segments; those with an empty key or value are skipped, orders stay."""
-    pairs = F.transform(
-        segments,
-        lambda s, i: F.struct(key(s, i).alias("k"), value(s, i).alias("v"), i.alias("i")),
+def _simple_values(data: Column) -> Column:
+    return F.transform(X.split_values(data), lambda v, i: _value(v, i))
+
+
+def _single_key(data: Column) -> Column:
+    nothing = F.lit(None).cast("string")
+    return F.array(
+        F.struct(
+            X.sub_value_key(data).alias("key"),
+            nothing.alias("value"),
+            nothing.alias("year"),
+            F.lit(0).alias("order"),
+            F.transform(
+                X.split_values(X.sub_value_html(data)),
+                lambda v: F.struct(v.alias("value"), extract_year_smart(v).alias("year")),
+            ).alias("sub_values"),
+        )
     )
-    kept = F.filter(pairs, lambda p: (p["k"] != "") & (p["v"] != ""))
-    return F.transform(kept, lambda p: _value(p["v"], p["i"], p["k"]))
 
 
-def structured_values(data: Column, kind: Column) -> Column:
-    """``array<VALUE>`` for text of the given structure type."""
-    simple = F.transform(X.split_values(data), lambda v, i: _value(v, i))
-    subs = F.transform(
-        X.sub_value_parts(data),
-        lambda v: F.struct(v.alias("value"), extract_year_smart(v).alias("year")),
+def _keyed(contents: Column, has_notes: bool = False) -> Column:
+    """Values of ``struct<k, c, i>``: key HTML, content, order.
+
+    Each step names what the next one uses more than once.  A pair with an empty key or value is
+    skipped; the orders of the others stay.
+    """
+    cut = F.transform(
+        contents,
+        lambda x: F.struct(
+            X.key_text(x["k"]).alias("k"), X.within_parent(x["c"]).alias("c"), x["i"].alias("i")
+        ),
     )
-    sub_values = F.array(_value(key=X.sub_value_key(data), sub_values=subs))
-    pairs = _keyed(
-        X.strong_segments(data),
-        lambda s, i: X.segment_key(s),
-        lambda s, i: X.segment_value(s),
+    read = F.transform(
+        cut,
+        lambda x: F.struct(
+            x["k"],
+            X.flat_text(X.before_note(x["c"]) if has_notes else x["c"]).alias("v"),
+            x["i"],
+        ),
     )
-    noted_pairs = _keyed(
+    kept = F.filter(read, lambda x: (x["k"] != "") & (x["v"] != ""))
+    return F.transform(kept, lambda x: _value(x["v"], x["i"], x["k"]))
+
+
+def _pair_contents(data: Column) -> Column:
+    return F.transform(
         X.strong_segments(data),
-        lambda s, i: X.segment_key(s),
-        lambda s, i: X.segment_value_before_note(s),
-    )
-    n_strong = F.size(X.strong_segments(data))
-    notes = F.transform(
-        X.note_segments(data), lambda s, i: F.struct(X.note_value(s).alias("v"), i.alias("i"))
+        lambda s, i: F.struct(
+            X.key_html(s).alias("k"), X.pair_content(s).alias("c"), i.alias("i")
+        ),
     )
-    notes = F.transform(
-        F.filter(notes, lambda n: n["v"] != ""),
-        lambda n: _value(n["v"], n_strong + n["i"], F.lit("note")),
+
+
+def _note_contents(data: Column) -> Column:
+    n_pairs = F.size(X.strong_segments(data))
+    return F.transform(
+        X.note_segments(data),
+        lambda s, i: F.struct(
+            F.lit("note").alias("k"), X.note_content(s).alias("c"), (i + n_pairs).alias("i")
+        ),
     )
+
+
+def structured_values(data: Column, kind: Column) -> Column:
+    """``array<VALUE>`` for text of the given structure type; notes follow all pairs."""
+    # a note's own content holds no further note tag, so ending at one only concerns pairs
+    noted = _keyed(F.concat(_pair_contents(data), _note_contents(data)), has_notes=True)
     return (
-        F.when(kind == X.SIMPLE, simple)
-        .when(kind == X.KEY_WITH_SUB_VALUES, sub_values)
-        .when(kind == X.KEY_VALUE_PAIRS, pairs)
-        .otherwise(F.concat(noted_pairs, notes))
+        F.when(kind == X.SIMPLE, _simple_values(data))
+        .when(kind == X.KEY_WITH_SUB_VALUES, _single_key(data))
+        .when(kind == X.KEY_VALUE_PAIRS, _keyed(_pair_contents(data)))
+        .otherwise(noted)
     )
 
 
@@ -117,53 +138,15 @@ def refine_fields(
 
 
 def value_rows(fields: DataFrame, decode_entities: bool = False) -> DataFrame:
-    """One row per leaf value: the field's columns plus ``structure_type, key, value, year, order``.
-
-    ``order`` counts sub-values for text with a single key and values otherwise.
-    """
-    data, kind = F.col("data"), F.col("structure_type")
-    keep = [c for c in fields.columns if c not in ("data", "media", "subfields")]
-    prepared = _prepare(fields, decode_entities)
-    pieces = prepared.select(
-        *keep,
-        "structure_type",
-        F.when(kind == X.KEY_WITH_SUB_VALUES, X.sub_value_key(data)).alias("_key"),
-        F.when(
-            kind == X.KEY_VALUE_PAIRS_WITH_NOTES, F.size(X.strong_segments(data))
-        ).alias("_n_pairs"),
-        F.posexplode(X.pieces(data, kind)).alias("order", "_piece"),
-    )
-    piece = F.col("_piece")
-    is_note = F.col("order") >= F.col("_n_pairs")  # null, so false, for other types
-    keyed = kind.isin(X.KEY_VALUE_PAIRS, X.KEY_VALUE_PAIRS_WITH_NOTES)
-    named = pieces.select(
-        *keep,
-        "structure_type",
-        "order",
-        F.when(is_note, "note").when(keyed, X.segment_key(piece)).otherwise(
-            F.col("_key")
-        ).alias("key"),
-        F.when(~keyed, piece)
-        .when(kind == X.KEY_VALUE_PAIRS, X.segment_value(piece))
-        .when(is_note, X.note_value(piece))
-        .otherwise(X.segment_value_before_note(piece))
-        .alias("value"),
-    )
-    # A filter on key and value would be pushed below the projection and compute both twice;
-    # a generator that yields nothing for a skipped pair computes them once.
-    skipped = keyed & ((F.col("key") == "") | (F.col("value") == ""))
-    leaf = F.struct("key", "value", "order")
-    return (
-        named.select(
-            *keep, "structure_type", F.explode(F.when(~skipped, F.array(leaf))).alias("_leaf")
-        )
-        .select(*keep, "structure_type", "_leaf.key", "_leaf.value", "_leaf.order")
-        .withColumn("year", extract_year_smart(F.col("value")))
-    )
+    """One row per leaf value of unrefined fields; see ``leaf_rows``."""
+    return leaf_rows(refine_fields(fields, decode_entities=decode_entities))
 
 
 def leaf_rows(refined: DataFrame) -> DataFrame:
-    """``value_rows`` of an already refined table: explode ``values`` and ``sub_values``."""
+    """One row per leaf value: the field's columns plus ``key, value, order, year``.
+
+    ``order`` counts sub-values for text with a single key and values otherwise.
+    """
     keep = [c for c in refined.columns if c not in ("values", "is_multi_valued", "subfields")]
     item = F.col("_item")
     single = F.array(F.struct(item["value"].alias("value"), item["year"].alias("year")))

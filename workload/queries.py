@@ -25,7 +25,7 @@ from fieldmill.sources import mapping as CM
 from fieldmill.sources.index import filter_index, index_rows
 from fieldmill.sources.sitemap import sitemap_urls
 from fieldmill.sources.snapshots import latest_snapshot
-from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived, table
+from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +42,7 @@ def _refined(spark, sf_dir) -> DataFrame:
 
 def _text_fields(spark, sf_dir) -> DataFrame:
     """Documents as fields: every line of the text is one value."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "documents").select(
         "doc_id", F.replace("text", F.lit("\n"), F.lit("<br>")).alias("data")
     )
 
@@ -68,7 +68,7 @@ def split_documents(spark, sf_dir):
 
 @query
 def split_pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "pages").select(
         "page_id", F.posexplode(X.split_values(F.col("html"))).alias("ord", "value")
     )
 
@@ -139,7 +139,7 @@ def text_cleanup(spark, sf_dir):
 
 @query
 def entity_decoding(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "pages").select(
         "page_id", X.decode_entities(F.col("html")).alias("html")
     )
 
@@ -279,7 +279,7 @@ def separator_census(spark, sf_dir):
 
 @query
 def separator_census_pages(spark, sf_dir):
-    return M.separator_census(table(spark, sf_dir, "pages").select(F.col("html").alias("data")))
+    return M.separator_census(spread(table(spark, sf_dir, "pages"), "pages").select(F.col("html").alias("data")))
 
 
 # ---- catalog -----------------------------------------------------------------------------------------
@@ -472,7 +472,7 @@ def url_parse(spark, sf_dir):
 
 @query
 def url_paths(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages"), "pages").select(
         "page_id",
         U.url_path(F.col("url")).alias("path"),
         U.page_data_url(F.col("url"), URL_BASE, "/en").alias("page_data_url"),
