@@ -47,7 +47,8 @@ def with_violations(refined: DataFrame) -> DataFrame:
 def violation_counts(checked: DataFrame) -> DataFrame:
     """Fields per broken rule."""
     return (
-        checked.select(F.explode("violations").alias("rule"))
+        checked.select(F.explode_outer("violations").alias("rule"))
+        .filter(F.col("rule").isNotNull())
         .groupBy("rule")
         .agg(F.count(F.lit(1)).alias("n_fields"))
     )

@@ -150,8 +150,11 @@ def leaf_rows(refined: DataFrame) -> DataFrame:
     keep = [c for c in refined.columns if c not in ("values", "is_multi_valued", "subfields")]
     item = F.col("_item")
     single = F.array(F.struct(item["value"].alias("value"), item["year"].alias("year")))
+    # An inner explode of a column makes the optimizer test the array's size first, further down the
+    # plan, where the array would be computed a second time; an outer one does not.
     return (
-        refined.select(*keep, F.explode("values").alias("_item"))
+        refined.select(*keep, F.explode_outer("values").alias("_item"))
+        .filter(item.isNotNull())
         .select(
             *keep,
             item["key"].alias("key"),
@@ -240,8 +243,8 @@ def explode_fields(docs: DataFrame) -> DataFrame:
     return docs.select(
         "entity",
         F.col("data.metadata.name").alias("entity_name"),
-        F.posexplode("data.fields").alias("pos", "_field"),
-    ).select("entity", "entity_name", "pos", "_field.*")
+        F.posexplode_outer("data.fields").alias("pos", "_field"),
+    ).filter(F.col("pos").isNotNull()).select("entity", "entity_name", "pos", "_field.*")
 
 
 #: fields per assembled row; far above what one page holds
