@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fieldmill.functions.binding import let
 from fieldmill.functions.text import strip
 
 # fixed values: accepted date forms in order of preference, and how to read them
@@ -15,6 +16,23 @@ _DATE_FORMS = (
     ("([A-Za-z]+ [0-9]{4})", "MMMM yyyy"),
 )
 _YEAR_FORM = "([0-9]{4})"
+_MONTH_NAMES = (
+    "January|February|March|April|May|June|July|August|September|October|November|December"
+)
+
+
+def _parser(fmt: str):
+    """Function from found text to its ISO form, null if it is no date.
+
+    A failing parse costs an exception, so text that cannot be a date is not even tried.
+    """
+    plausible = f"(?i)^(?:[0-9]+ )?(?:{_MONTH_NAMES}) " if "MMMM" in fmt else "^[0-9]"
+
+    def parse(found: Column) -> Column:
+        date = F.try_to_date(F.when(found.rlike(plausible), found), fmt)
+        return F.date_format(date, "yyyy-MM-dd")
+
+    return parse
 
 
 def normalize_date(text: Column, iso_first: bool = False) -> Column:
@@ -22,16 +40,14 @@ def normalize_date(text: Column, iso_first: bool = False) -> Column:
 
     ``iso_first`` also accepts ``yyyy-MM-dd``, which otherwise falls back to its year.
     """
-    text = strip(text)
     forms = (_ISO_FORM, *_DATE_FORMS) if iso_first else _DATE_FORMS
-    # a form without a match gives '', which does not parse, so the next form gets its turn
-    parsed = [
-        F.date_format(F.try_to_date(F.regexp_extract(text, pattern, 1), fmt), "yyyy-MM-dd")
-        for pattern, fmt in forms
-    ]
-    year = F.nullif(F.regexp_extract(text, _YEAR_FORM, 1), F.lit(""))
-    result = F.coalesce(*parsed, F.concat(year, F.lit("-01-01")), text)
-    return F.when(text != "", result)
+
+    def normalized(clean: Column) -> Column:
+        parsed = [let(F.regexp_extract(clean, p, 1), _parser(fmt)) for p, fmt in forms]
+        year = F.nullif(F.regexp_extract(clean, _YEAR_FORM, 1), F.lit(""))
+        return F.when(clean != "", F.coalesce(*parsed, F.concat(year, F.lit("-01-01")), clean))
+
+    return let(strip(text), normalized)
 
 
 def to_date(text: Column, iso_first: bool = False) -> Column:

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 #: every character that Unicode counts as white space (no-break space included)
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-# the same set for patterns, as escapes so that plans stay readable
-_SPACES = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# the same set for patterns: control characters and all Unicode separators
+_CONTROLS = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85"
+_SPACES = _CONTROLS + r"\p{Z}"
+_ODD_SPACES = _CONTROLS + r"[\p{Z}&&[^ ]]"
 _WS = f"[{_SPACES}]"
 
-_ODD_SPACES = _SPACES.replace(r"\x1c-\x20", r"\x1c-\x1f")
-
 # fixed values: the markup the source data uses
 BREAK = f"(?i)<br{_WS}*/?>"
 STRONG_PAIR = "(?id)<strong>.*?</strong>"

@@ -70,7 +70,9 @@ def snapshot_diff(
         _outcome(nothing, F.col("_value"), "added", F.col("_n") - both),
     )
     repeated = (
-        counts.join(repeated_keys, same_slot, "left_semi")
+        # the keys are unique, so this is a semi join; written as one it would be pushed below the
+        # counts, which would then be computed again instead of reused
+        counts.join(repeated_keys, same_slot, "inner")
         .select(*keys, F.explode(outcomes).alias("_out"))
         .select(*keys, "_out.*")
         .filter(F.col("copies") > 0)

@@ -31,29 +31,25 @@ def member_or(doc: Column, path: str, default: Column, kind: str = "string") ->
     return F.when(node.isNull(), default).otherwise(member(doc, path, kind))
 
 
-def _has_any_key(obj: Column, keys: tuple[str, ...]) -> Column:
-    found = F.lit(False)
-    for key in keys:
-        found = found | F.coalesce(F.map_contains_key(obj, key), F.lit(False))
-    return found
+def _has_key(doc: Column, path: str) -> Column:
+    # a JSON null is a VARIANT value, only an absent key gives SQL null
+    return F.try_variant_get(doc, f"$.{path}", "variant").isNotNull()
 
 
 def is_valid_page(doc: Column) -> Column:
     """True when ``result.data`` is an object with a key ``country`` or ``fields``."""
-    return _has_any_key(member(doc, "result.data", "map<string,variant>"), ("country", "fields"))
+    return _has_key(doc, "result.data.country") | _has_key(doc, "result.data.fields")
 
 
 def page_kind(doc: Column) -> Column:
     """``entity``, ``category`` or ``invalid``: what a landed document holds."""
-    root = F.try_variant_get(doc, "$", "map<string,variant>")
-    inner = F.when(
-        F.map_contains_key(root, "result"), member(doc, "result.data", "map<string,variant>")
-    ).otherwise(member(doc, "data", "map<string,variant>"))
-    return (
-        F.when(_has_any_key(inner, ("country", "fields")), "entity")
-        .when(_has_any_key(inner, ("allLaunchpadCategory",)), "category")
-        .otherwise("invalid")
-    )
+
+    def kind(at: str) -> Column:
+        entity = _has_key(doc, f"{at}.country") | _has_key(doc, f"{at}.fields")
+        return F.when(entity, "entity").when(_has_key(doc, f"{at}.allLaunchpadCategory"), "category")
+
+    found = F.when(_has_key(doc, "result"), kind("result.data")).otherwise(kind("data"))
+    return F.coalesce(found, F.lit("invalid"))
 
 
 def _labels(node: Column) -> Column:
@@ -116,7 +112,10 @@ def image_list(doc: Column, path: str) -> Column:
 
 
 def _is_object(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "map<string,variant>").isNotNull()
+    # reading a member is cheap and settles nearly all nodes
+    return _has_key(node, "name") | F.try_variant_get(
+        node, "$", "map<string,variant>"
+    ).isNotNull()
 
 
 def _nodes(doc: Column) -> Column:
@@ -173,8 +172,11 @@ def page_fields(parsed: DataFrame) -> DataFrame:
     """
     node = F.col("_node")
     return (
-        parsed.filter("is_valid")
-        .select("entity", F.posexplode(_nodes(F.col("doc"))).alias("pos", "_node"))
+        # no filter on is_valid: pushed down, it would parse every body twice
+        parsed.select(
+            "entity",
+            F.posexplode(F.when(F.col("is_valid"), _nodes(F.col("doc")))).alias("pos", "_node"),
+        )
         .filter(_is_object(node))
         .select("entity", "pos", *_field_members(node))
     )

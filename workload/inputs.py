@@ -261,13 +261,18 @@ def spread(df: DataFrame, name: str) -> DataFrame:
     return df.repartition(cores, *_ROW_KEYS[name])
 
 
+def _outlined(expr: str) -> str:
+    # long expressions stay out of the generated method, see fieldmill.functions.binding
+    return f"get(transform(array(0), _ -> {expr}), 0)" if len(expr) > 500 else expr
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the inputs above as a DataFrame."""
     source, columns, condition = _TABLE_OF[name]
     df = spread(table(spark, sf_dir, source), source)
     if condition:
         df = df.where(condition)
-    return df.selectExpr(*[f"{expr} AS {alias}" for alias, expr in columns.items()])
+    return df.selectExpr(*[f"{_outlined(expr)} AS {alias}" for alias, expr in columns.items()])
 
 
 def derived_sql(name: str) -> str:

@@ -214,8 +214,8 @@ def refined_documents(spark, sf_dir):
     """Parse, refine in place, and flatten the nested documents for comparison."""
     docs = R.refine_documents(P.parse_pages(_landed(spark, sf_dir)))
     return docs.select(
-        "entity", "source_file", "statistics.*", F.posexplode("data.fields").alias("idx", "f")
-    ).select(
+        "entity", "source_file", "statistics.*", F.posexplode_outer("data.fields").alias("idx", "f")
+    ).filter(F.col("idx").isNotNull()).select(
         "entity",
         "source_file",
         "total_fields",
