@@ -9,6 +9,9 @@ from fieldmill.operators.url_index import nested_index, url_type_counts, url_ind
 from fieldmill.sources.snapshots import PARTITION, parse_snapshot_date
 
 
+_PART = "category_part"
+
+
 def with_snapshot_date(df: DataFrame, snapshot: str | None = None) -> DataFrame:
     """Add the partition column: the given date, or today in UTC."""
     if snapshot is not None:
@@ -55,8 +58,9 @@ def write_export(rows: DataFrame, summary: DataFrame, path: str, fmt: str = "par
     Rows are rebalanced by category first: categories do not scatter into small files, and a
     category with most of the rows is split over several tasks and files.
     """
-    by_category = rows.withColumn("category", F.col("Category")).drop("Category")
-    writer = by_category.hint("rebalance", "category").write.mode("overwrite").partitionBy("category")
+    # partitioned by a copy, so that every file keeps the whole header
+    by_category = rows.withColumn(_PART, F.col("Category")).hint("rebalance", _PART)
+    writer = by_category.write.mode("overwrite").partitionBy(_PART)
     if fmt == "csv":
         writer.option("header", True).option("escape", '"').csv(f"{path}/fields")
     else:
