@@ -4,14 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldmill.llm.decontamination import contaminated
+from fieldmill.llm.mixing import mix
 from fieldmill.llm.near_duplicates import near_duplicates
+from fieldmill.llm.repeats import repeated_spans
 from fieldmill.llm.tables import table
+from fieldmill.llm.toxicity import toxicity
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "block", "place", "repeats")
+
+
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_mixing": op5_mixing,
+    "op6_repeated_passages": op6_repeated_passages,
+    "op7_decontamination": op7_decontamination,
+    "op9_toxicity": op9_toxicity,
 }

@@ -253,9 +253,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that score 0.3 or more."""
-    model = train_on(docs, labels)
+def drop_toxic(docs: DataFrame, training: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without those that score 0.3 or more by what ``training`` and ``labels`` teach."""
+    model = train_on(training, labels)
 
     def run(batches):
         for batch in batches:

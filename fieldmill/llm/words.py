@@ -21,6 +21,7 @@ _STEP = U(0xD6E8FEB86659FD93)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SIGN = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -84,14 +85,17 @@ class Block:
         return mix(np.array([(total + len(h)) % (1 << 64)], U))
 
 
-def word_block(texts: list[str | None]) -> Block:
+def word_block(texts: list[str | None], plain: bool = False) -> Block:
+    """The words of ``texts``; with ``plain`` those of the fully lowered texts, cut at ASCII signs."""
+    if plain:
+        texts = [t and t.lower() for t in texts]
     encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = b"\n".join(encoded)
     raw = np.frombuffer(data, np.uint8)
     sizes = np.array([len(e) + 1 for e in encoded], np.int64)
     text_starts = np.cumsum(sizes) - sizes
     inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[raw]
+    inside[1:-1] = ~(_SIGN if plain else _SPACE)[raw]
     edges = np.diff(inside)
     start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     hashes = np.empty(len(start), U)
