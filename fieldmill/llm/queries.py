@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldmill.llm.decontamination import contaminated
+from fieldmill.llm.fingerprints import fingerprints
+from fieldmill.llm.html_text import extract
+from fieldmill.llm.licenses import scan
 from fieldmill.llm.mixing import mix
 from fieldmill.llm.near_duplicates import near_duplicates
 from fieldmill.llm.repeats import repeated_spans
@@ -12,6 +15,10 @@ from fieldmill.llm.tables import table
 from fieldmill.llm.toxicity import toxicity
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,14 +36,25 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_mixing": op5_mixing,
     "op6_repeated_passages": op6_repeated_passages,
     "op7_decontamination": op7_decontamination,
+    "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
+    "op10_html_text": op10_html_text,
 }
