@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldmill.llm.chat import as_records, digests, format_records
 from fieldmill.llm.decontamination import contaminated
 from fieldmill.llm.fingerprints import fingerprints
 from fieldmill.llm.html_text import extract
@@ -11,8 +14,14 @@ from fieldmill.llm.licenses import scan
 from fieldmill.llm.mixing import mix
 from fieldmill.llm.near_duplicates import near_duplicates
 from fieldmill.llm.repeats import repeated_spans
-from fieldmill.llm.tables import table
+from fieldmill.llm.tables import shared_dir, table
 from fieldmill.llm.toxicity import toxicity
+from fieldmill.llm.warc import through_archives
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    return through_archives(table(spark, sf_dir, "pages"), folder)
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +32,16 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_records(as_records(turns.unionByName(extra))))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "block", "place", "repeats")
@@ -49,8 +68,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_warc": op1_warc,
     "op2_fingerprints": op2_fingerprints,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_chat": op4_chat,
     "op5_mixing": op5_mixing,
     "op6_repeated_passages": op6_repeated_passages,
     "op7_decontamination": op7_decontamination,
