@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmill.functions.numbers import mean, percentage
-from fieldmill.operators.joins import broadcast_if_small
 
 
 def field_info(fields: DataFrame) -> DataFrame:
@@ -25,34 +24,39 @@ def field_info(fields: DataFrame) -> DataFrame:
 def field_registry(fields: DataFrame) -> DataFrame:
     """One row per field name: first-seen attributes, entities, occurrences, text lengths.
 
-    The exact entity count needs one shuffle, of (name, entity) pairs that are already collapsed
-    map-side; its hash key includes the entity, so a name held by every entity is not a hot key.
-    First seen means smallest (entity, pos).
+    One scan in three steps: rows collapse to (name, entity, attributes) with numbers only, so the
+    map side is a hash aggregate; these to (name, entity), which makes the entity count exact; these
+    to the name.  Keys hold the entity until little is left, so a name held by every entity is not a
+    hot key.  First seen means smallest (entity, pos).
     """
     info = field_info(fields)
-    pairs = info.groupBy("name", "entity").agg(
+    attributes = ["database_id", "category", "has_ranking"]
+    lengths = [
+        F.min("min_length").alias("min_length"),
+        F.max("max_length").alias("max_length"),
+        F.sum("_sum_length").alias("_sum_length"),
+    ]
+    variants = info.groupBy("name", "entity", *attributes).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("data_length").alias("min_length"),
         F.max("data_length").alias("max_length"),
-        F.sum("data_length").alias("sum_length"),
+        F.sum("data_length").alias("_sum_length"),
+        F.min("pos").alias("pos"),
     )
-    presence = pairs.groupBy("name").agg(
+    pairs = variants.groupBy("name", "entity").agg(
+        F.sum("n").alias("n"),
+        *lengths,
+        F.min(F.struct("pos", *attributes)).alias("_first"),
+    )
+    registry = pairs.groupBy("name").agg(
         F.count(F.lit(1)).alias("n_entities"),
         F.sum("n").alias("n_occurrences"),
-        F.min("min_length").alias("min_length"),
-        F.max("max_length").alias("max_length"),
-        F.sum("sum_length").alias("_sum_length"),
-    )
-    attributes = ["database_id", "category", "has_ranking"]
-    variants = info.groupBy("name", *attributes).agg(
-        F.min(F.struct("entity", "pos")).alias("_seen")
-    )
-    first = variants.groupBy("name").agg(
-        F.min_by(F.struct(*attributes), F.col("_seen")).alias("_first")
+        *lengths,
+        F.min_by("_first", F.struct("entity", "_first.pos")).alias("_first"),
     )
-    return presence.join(first, "name").select(
+    return registry.select(
         "name",
-        "_first.*",
+        *(F.col(f"_first.{a}").alias(a) for a in attributes),
         "n_entities",
         "n_occurrences",
         "min_length",
@@ -158,7 +162,7 @@ def missing_entities(
     )
     return (
         slots.join(present, ["entity", "bucket"], "left")
-        .join(broadcast_if_small(bucket_names), "bucket")
+        .join(bucket_names, "bucket")
         .select(
             "entity",
             F.explode(

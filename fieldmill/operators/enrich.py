@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmill.functions.numbers import percentage
-from fieldmill.operators.joins import is_small
 
 
 def require_mapping(mapping: DataFrame) -> DataFrame:
@@ -16,27 +15,20 @@ def require_mapping(mapping: DataFrame) -> DataFrame:
     return mapping
 
 
-def enrich_fields(
-    fields: DataFrame, mapping: DataFrame, broadcast_mapping: bool | None = None
-) -> DataFrame:
+def enrich_fields(fields: DataFrame, mapping: DataFrame) -> DataFrame:
     """Add ``category`` by ``database_id``; no match or no id gives null.
 
-    ``mapping`` has one row per ``database_id``.  It is measured and broadcast when small.  Beyond
-    that both sides are shuffled: rows without an id get scattered keys that match nothing, and a
-    hot id is split by AQE's skew join, which left joins support.
+    An id that ``mapping`` has several times takes its greatest category, so fields never multiply
+    (``read_mapping`` and ``extract_mapping`` have settled which one is last before).  The join
+    strategy is left to AQE, which knows the size of the shuffled mapping.  Where fields are shuffled
+    too, rows without an id get scattered keys that match nothing, and a hot id is split by the skew
+    join, which left joins support.
     """
     fields = fields.drop("category")
-    mapping = mapping.select(F.col("database_id").alias("_id"), F.col("category"))
-    if broadcast_mapping is None:
-        broadcast_mapping = is_small(mapping)
-    if broadcast_mapping:
-        joined = fields.join(
-            F.broadcast(mapping), F.col("database_id") == F.col("_id"), "left"
-        )
-        return joined.drop("_id")
-    scattered = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64("entity", "pos"), F.lit(4096)).cast("string")
+    mapping = mapping.groupBy(F.col("database_id").alias("_id")).agg(
+        F.max("category").alias("category")
     )
+    scattered = F.concat(F.lit("\u0000"), F.xxhash64("entity", "pos").cast("string"))
     joined = fields.withColumn("_key", F.coalesce("database_id", scattered)).join(
         mapping, F.col("_key") == F.col("_id"), "left"
     )

@@ -5,29 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: a side is only broadcast when a count of it stays within both limits
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def is_small(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """Measure ``df`` with one distributed aggregate (an action) and compare with the limits."""
-    size = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-    ).first()
-    return size["n"] <= max_rows and size["bytes"] <= max_bytes
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast when ``df`` is measured to be small, else leave the choice to AQE."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
-
-
 def last_value_by(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     """Per key, the value with the greatest ``order`` (numeric); ties go to the greater value.
 

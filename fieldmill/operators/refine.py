@@ -247,26 +247,6 @@ def explode_fields(docs: DataFrame) -> DataFrame:
     ).filter(F.col("pos").isNotNull()).select("entity", "entity_name", "pos", "_field.*")
 
 
-#: fields per assembled row; far above what one page holds
-FIELDS_PER_PART = 10_000
-
-
-def assemble_documents(fields: DataFrame, fields_per_part: int = FIELDS_PER_PART) -> DataFrame:
-    """Nested ``fields`` array per entity from field rows, in ``pos`` order.
-
-    An entity with more than ``fields_per_part`` positions becomes several rows, numbered by
-    ``part``, so that no group grows without bound.  Prefer ``refine_documents``, which needs no
-    shuffle, when the input is nested already.
-    """
-    members = [c for c in fields.columns if c not in ("entity", "entity_name")]
-    ordered = F.array_sort(F.collect_list(F.struct("pos", *[c for c in members if c != "pos"])))
-    return (
-        fields.withColumn("part", F.floor(F.col("pos") / fields_per_part).cast("int"))
-        .groupBy("entity", "part")
-        .agg(ordered.alias("fields"))
-    )
-
-
 def refinement_stats(refined: DataFrame) -> DataFrame:
     """Per entity: fields, multi-valued and single-valued ones."""
     return refined.groupBy("entity").agg(

@@ -60,36 +60,6 @@ def other_urls(pages: DataFrame) -> DataFrame:
     )
 
 
-#: longest ``other`` array in one row
-OTHER_PER_PART = 10_000
-
-
-def nested_index(pages: DataFrame, other_per_part: int = OTHER_PER_PART) -> DataFrame:
-    """``url_index`` with ``other`` as an array in first-seen order.
-
-    A slug with more than ``other_per_part`` other URLs gets several rows, cut by position and
-    numbered by ``part``; no array grows with the data.
-    """
-    index = url_index(pages)
-    others = other_urls(pages)
-    sized = others.groupBy("slug").agg(F.count(F.lit(1)).alias("_n"))
-    part = F.when(F.col("_n") <= other_per_part, F.lit(0)).otherwise(
-        F.floor(F.col("pos") / other_per_part)
-    )
-    arrays = (
-        others.join(sized, "slug")
-        .groupBy("slug", part.cast("bigint").alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "url"))).alias("_other"))
-        .select("slug", "part", F.col("_other.url").alias("other"))
-    )
-    return (
-        index.drop("other_count")
-        .join(arrays, "slug", "left")
-        .withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
-        .withColumn("other", F.coalesce("other", F.array().cast("array<string>")))
-    )
-
-
 def url_type_counts(index: DataFrame) -> DataFrame:
     """One row: entities per page type, other URLs, and totals (``main`` counts once always)."""
     n = F.count(F.lit(1))

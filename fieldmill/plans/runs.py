@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from fieldmill.operators.url_index import entity_urls
 from fieldmill.sinks import tables as S
 from fieldmill.sources.mapping import extract_mapping, preferred_pages
 from fieldmill.sources.sitemap import read_sitemap
-from fieldmill.sources.snapshots import read_snapshot, resolve_snapshot
+from fieldmill.sources.snapshots import find_snapshot, read_snapshot, resolve_snapshot
 
 
 def discover_entities(
@@ -32,7 +33,7 @@ def discover_entities(
 ) -> None:
     """Sitemap files to the stored URL index."""
     pages = entity_urls(read_sitemap(spark, sitemap_path), base_url, prefix, section)
-    S.write_url_index(pages, output)
+    S.write_url_index(pages, output, sitemap_path)
 
 
 def discover_mapping(pages: DataFrame, output: str) -> None:
@@ -45,53 +46,79 @@ def land_snapshot(
     spark: SparkSession, pages: DataFrame, root: str, snapshot: str | None = None
 ) -> str:
     """Parse landed pages into the ``raw`` table and write the run's log and metadata."""
+    date, started = S.run_date(snapshot), dt.datetime.now(dt.timezone.utc)
     docs = P.parse_pages(pages)
-    S.write_snapshot(docs.filter("scrape_success"), f"{root}/raw", snapshot)
-    S.write_snapshot(P.quarantine(P.parse_bodies(pages)), f"{root}/quarantine", snapshot)
-    date = resolve_snapshot(spark, f"{root}/raw", snapshot)
-    log = run_log(read_snapshot(spark, f"{root}/raw", date), _quarantined(spark, root, date))
+    S.write_snapshot(docs.filter("scrape_success"), f"{root}/raw", date)
+    S.write_snapshot(P.quarantine(P.parse_bodies(pages)), f"{root}/quarantine", date)
+    log = run_log(
+        spark,
+        find_snapshot(spark, f"{root}/raw", date),
+        find_snapshot(spark, f"{root}/quarantine", date),
+    )
     S.write_snapshot(L.log_entries(log), f"{root}/scrape_log", date)
-    S.write_report(L.run_metadata(log), f"{root}/reports/{date}/metadata")
+    ended = dt.datetime.now(dt.timezone.utc)
+    metadata = L.run_metadata(log).select(
+        F.lit(date).alias("snapshot_date"),
+        F.lit(started).alias("started_at"),
+        F.lit(ended).alias("ended_at"),
+        F.lit((ended - started).total_seconds()).alias("duration_seconds"),
+        "*",
+    )
+    S.write_report(metadata, f"{root}/reports/{date}/metadata")
     S.write_report(L.failed_entities(log), f"{root}/reports/{date}/failed_entities")
     return date
 
 
-def _quarantined(spark: SparkSession, root: str, date: str) -> DataFrame | None:
-    from fieldmill.sources.snapshots import list_snapshots
-
-    # a run without failures leaves no partition behind
-    if date not in list_snapshots(spark, f"{root}/quarantine"):
-        return None
-    return read_snapshot(spark, f"{root}/quarantine", date)
+LOG = (
+    "slug string, success boolean, scraped_at string, source_url string, duration_seconds double,"
+    " error string, error_details string, n_fields int, n_assets int"
+)
+
+
+def run_log(
+    spark: SparkSession, raw: DataFrame | None, failed: DataFrame | None = None
+) -> DataFrame:
+    """The log of a landing run: one row per entity, landed or quarantined; either may be missing."""
+    log = spark.createDataFrame([], LOG)
+    nothing = lambda kind: F.lit(None).cast(kind)
+    if raw is not None:
+        landed = raw.select(
+            F.col("entity").alias("slug"),
+            F.lit(True).alias("success"),
+            F.col("scraped_at"),
+            "source_url",
+            nothing("double").alias("duration_seconds"),
+            nothing("string").alias("error"),
+            nothing("string").alias("error_details"),
+            F.size("data.fields").alias("n_fields"),
+            L.asset_count(F.col("data.assets")).alias("n_assets"),
+        )
+        log = log.unionByName(landed)
+    if failed is not None:
+        lost = failed.select(
+            F.col("entity").alias("slug"),
+            F.lit(False).alias("success"),
+            nothing("string").alias("scraped_at"),
+            "source_url",
+            nothing("double").alias("duration_seconds"),
+            F.lit("parse_failed").alias("error"),
+            F.col("error").alias("error_details"),
+            nothing("int").alias("n_fields"),
+            nothing("int").alias("n_assets"),
+        )
+        log = log.unionByName(lost)
+    return log
 
 
-def run_log(raw: DataFrame, failed: DataFrame | None = None) -> DataFrame:
-    """The log of a landing run: one row per entity, landed or quarantined."""
-    landed = raw.select(
-        F.col("entity").alias("slug"),
-        F.lit(True).alias("success"),
-        F.col("scraped_at"),
-        "source_url",
-        F.lit(None).cast("double").alias("duration_seconds"),
-        F.lit(None).cast("string").alias("error"),
-        F.lit(None).cast("string").alias("error_details"),
-        F.size("data.fields").alias("n_fields"),
-        L.asset_count(F.col("data.assets")).alias("n_assets"),
-    )
-    if failed is None:
-        return landed
-    lost = failed.select(
-        F.col("entity").alias("slug"),
-        F.lit(False).alias("success"),
-        F.lit(None).cast("string").alias("scraped_at"),
-        "source_url",
-        F.lit(None).cast("double").alias("duration_seconds"),
-        F.lit("parse_failed").alias("error"),
-        F.col("error").alias("error_details"),
-        F.lit(None).cast("int").alias("n_fields"),
-        F.lit(None).cast("int").alias("n_assets"),
-    )
-    return landed.unionByName(lost)
+def _with_others(
+    spark: SparkSession, rows: DataFrame, table: str, date: str, entities: Sequence[str] | None
+) -> DataFrame:
+    """``rows`` of the chosen entities together with what the snapshot holds of the others."""
+    before = find_snapshot(spark, table, date) if entities else None
+    if before is None:
+        return rows
+    others = before.drop("snapshot_date").filter(~F.col("entity").isin(list(entities)))
+    return rows.unionByName(others)
 
 
 def refine_snapshot(
@@ -102,7 +129,11 @@ def refine_snapshot(
     entities: Sequence[str] | None = None,
     steps: Sequence[str] = ("categories", "multi-value"),
 ) -> str:
-    """``raw`` to ``enriched`` to ``refined``, with the statistics and profile reports."""
+    """``raw`` to ``enriched`` to ``refined``, with the statistics and profile reports.
+
+    With ``entities`` only these are done anew; the snapshots keep what they hold of the others, and
+    the reports cover all.
+    """
     date = resolve_snapshot(spark, f"{root}/raw", snapshot)
     reports = f"{root}/reports/{date}"
     if "categories" in steps:
@@ -110,12 +141,15 @@ def refine_snapshot(
             R.explode_fields(read_snapshot(spark, f"{root}/raw", date)), entities
         )
         enriched = E.enrich_fields(raw, E.require_mapping(mapping))
-        S.write_snapshot(enriched, f"{root}/enriched", date)
+        table = f"{root}/enriched"
+        S.write_snapshot(_with_others(spark, enriched, table, date, entities), table, date)
         stats = E.enrichment_stats(read_snapshot(spark, f"{root}/enriched", date))
         S.write_report(E.enrichment_summary(stats), f"{reports}/category_report")
     if "multi-value" in steps:
         enriched = read_snapshot(spark, f"{root}/enriched", date).drop("snapshot_date")
-        S.write_snapshot(R.refine_fields(enriched), f"{root}/refined", date)
+        table = f"{root}/refined"
+        chosen = R.refine_fields(X.filter_fields(enriched, entities))
+        S.write_snapshot(_with_others(spark, chosen, table, date, entities), table, date)
         refined = read_snapshot(spark, f"{root}/refined", date)
         profile = M.multi_value_profile(refined)
         S.write_report(profile, f"{reports}/multi_value_by_field")
@@ -139,6 +173,7 @@ def catalog_snapshot(spark: SparkSession, root: str, snapshot: str | None = None
     stored = spark.read.schema(catalog.schema).json(f"{reports}/field_catalog")
     S.write_report(C.category_summary(stored), f"{reports}/catalog_categories")
     S.write_report(C.coverage_bands(stored), f"{reports}/coverage_bands")
+    S.write_report(C.missing_counts(stored), f"{reports}/missing_counts")
     return date
 
 
@@ -158,7 +193,7 @@ def export_snapshot(
         read_snapshot(spark, f"{root}/refined", date), entities, categories
     )
     if refined.isEmpty():
-        raise ValueError("no data to export after applying filters")
+        raise ValueError("the filters leave no field to export")
     rows = X.export_rows(R.leaf_rows(refined), with_year)
     summary = X.export_summary(refined, date, entities or (), categories or ())
     S.write_export(rows, summary, output, fmt)

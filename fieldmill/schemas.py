@@ -37,6 +37,12 @@ ENTITY_INDEX = (
     "flag:string,map:string,locator_map:string,other:array<string>>>>"
 )
 
+#: one stored index row per slug; its other URLs are rows of their own
+INDEX_ROW = (
+    "slug string, main string, factsheet string, images string, flag string, map string, "
+    "locator_map string, other_count bigint"
+)
+
 FETCH_LOG = (
     "slug string, success boolean, scraped_at timestamp, source_url string, "
     "duration_seconds double, http_status int, exception_kind string, error string, "

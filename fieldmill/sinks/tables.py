@@ -2,37 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmill.operators.url_index import nested_index, url_type_counts, url_index
+from fieldmill.operators.url_index import other_urls, url_index, url_type_counts
 from fieldmill.sources.snapshots import PARTITION, parse_snapshot_date
 
-
 _PART = "category_part"
 
 
+def run_date(snapshot: str | None = None) -> str:
+    """The date of a run: the given one, or today in UTC.  Ask once and pass it to every write."""
+    day = parse_snapshot_date(snapshot) if snapshot else dt.datetime.now(dt.timezone.utc).date()
+    return day.isoformat()
+
+
 def with_snapshot_date(df: DataFrame, snapshot: str | None = None) -> DataFrame:
     """Add the partition column: the given date, or today in UTC."""
-    if snapshot is not None:
-        date = F.lit(parse_snapshot_date(snapshot))
-    else:
-        date = F.to_date(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
-    return df.withColumn(PARTITION, date)
+    return df.withColumn(PARTITION, F.lit(parse_snapshot_date(run_date(snapshot))))
+
+
+def _clear_snapshot(spark: SparkSession, table: str, date: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/{PARTITION}={date}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_snapshot(df: DataFrame, table: str, snapshot: str | None = None) -> None:
-    """Replace one snapshot of ``table``; the others stay.
+    """Replace one snapshot of ``table``; the others stay.  Without rows the snapshot goes.
 
     The output committer makes the partition visible only when all of it is written.
     """
+    date, written = run_date(snapshot), Observation()
     (
-        with_snapshot_date(df, snapshot)
+        with_snapshot_date(df, date)
+        .observe(written, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
         .parquet(table)
     )
+    if not written.get["n"]:  # an overwrite by partition leaves one alone that gets no rows
+        _clear_snapshot(df.sparkSession, table, date)
 
 
 def write_documents(df: DataFrame, path: str, compress: bool = True) -> None:
@@ -46,10 +58,18 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def write_url_index(pages: DataFrame, path: str) -> None:
-    """The URL index sorted by slug below ``path/entities``, its counts in ``path/metadata``."""
-    nested_index(pages).orderBy("slug", "part").write.mode("overwrite").json(f"{path}/entities")
-    url_type_counts(url_index(pages)).write.mode("overwrite").json(f"{path}/metadata")
+def write_url_index(pages: DataFrame, path: str, sitemap_url: str | None = None) -> None:
+    """The URL index: one row per slug, sorted, below ``path/entities``; its other URLs in first-seen
+    order below ``path/other``; counts, sitemap address and time in ``path/metadata``."""
+    index = url_index(pages)
+    index.orderBy("slug").write.mode("overwrite").json(f"{path}/entities")
+    others = other_urls(pages).orderBy("slug", "pos").select("slug", "url")
+    others.write.mode("overwrite").json(f"{path}/other")
+    url_type_counts(index).select(
+        F.current_timestamp().alias("scraped_at"),
+        F.lit(sitemap_url).cast("string").alias("sitemap_url"),
+        "*",
+    ).write.mode("overwrite").json(f"{path}/metadata")
 
 
 def write_export(rows: DataFrame, summary: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -16,14 +16,22 @@ def mapping_rows(docs: DataFrame) -> DataFrame:
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """The stored mapping file as a two-column dimension; a missing file is an empty one."""
+    """Stored mapping files as a two-column dimension; a missing file is an empty one.
+
+    Of an id that comes several times the last wins, by file name and then place in the file.
+    """
     try:
         docs = spark.read.schema(CATEGORY_MAPPING).option("multiLine", True).json(path)
     except Exception as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
         return spark.createDataFrame([], "database_id string, category string")
-    return mapping_rows(docs)
+    placed = docs.select(
+        F.input_file_name().alias("_file"),
+        F.posexplode("mapping").alias("_at", "database_id", "category"),
+    )
+    last = F.max_by("category", F.struct("_file", "_at"))
+    return placed.groupBy("database_id").agg(last.alias("category"))
 
 
 def _category_nodes(doc: Column) -> Column:

@@ -32,8 +32,14 @@ def sitemap_urls(docs: DataFrame) -> DataFrame:
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """``url, pos`` of sitemap files, read element by element, for files of any size.
 
-    ``pos`` follows the order of input splits and of elements within them.
+    ``pos`` is (file, start of the input split, number within the task): it follows file names and
+    places in a file however files are split and packed.
     """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
 
     def elements(tag: str) -> DataFrame:
         return (
@@ -41,7 +47,7 @@ def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
             .schema(_ROW)
             .option("rowTag", tag)
             .load(path)
-            .select(F.col("loc").alias("url"), F.monotonically_increasing_id().alias("pos"))
+            .select(F.col("loc").alias("url"), place.alias("pos"))
         )
 
     return elements("url").unionByName(elements("sitemap")).filter(F.col("url").isNotNull())

@@ -45,9 +45,14 @@ def resolve_snapshot(spark: SparkSession, table: str, snapshot: str | None = Non
 
 
 def read_snapshot(spark: SparkSession, table: str, snapshot: str | None = None) -> DataFrame:
-    """One snapshot of a table; the date is a literal, so other partitions are not even listed."""
+    """One snapshot of a table; only the folder of its partition is listed."""
     date = resolve_snapshot(spark, table, snapshot)
-    return spark.read.parquet(table).filter(F.col(PARTITION) == F.lit(date).cast("date"))
+    return spark.read.option("basePath", table).parquet(f"{table}/{PARTITION}={date}")
+
+
+def find_snapshot(spark: SparkSession, table: str, date: str) -> DataFrame | None:
+    """A snapshot that may be missing, as nothing was left to write."""
+    return read_snapshot(spark, table, date) if date in list_snapshots(spark, table) else None
 
 
 def latest_snapshot(df: DataFrame, column: str = PARTITION) -> DataFrame:

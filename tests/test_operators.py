@@ -13,7 +13,6 @@ from fieldmill.operators import quality as Q
 from fieldmill.operators import refine as R
 from fieldmill.operators import runs as L
 from fieldmill.operators import url_index as I
-from fieldmill.operators.joins import broadcast_if_small, is_small
 from fieldmill.functions import urls as U
 from workload.inputs import derived
 
@@ -38,11 +37,11 @@ def sample(spark):
     )
 
 
-@pytest.mark.parametrize("broadcast", [True, False, None])
-def test_enrichment(spark, broadcast):
+@pytest.mark.parametrize("hint", ["merge", "broadcast"])
+def test_enrichment(spark, hint):
     rows = fields(spark, [("e", i, "n", d, "old", False, "") for i, d in enumerate(["341", "9", None])])
     mapping = spark.createDataFrame([("341", "P")], "database_id string, category string")
-    got = E.enrich_fields(rows, mapping, broadcast)
+    got = E.enrich_fields(rows.hint("merge") if hint == "merge" else rows, mapping)
     assert [r.category for r in got.orderBy("pos").collect()] == ["P", None, None]
     stats = E.enrichment_stats(got)
     assert stats.first().category_coverage_percentage == 33.3
@@ -53,14 +52,6 @@ def test_enrichment(spark, broadcast):
         E.require_mapping(mapping.limit(0))
 
 
-def test_broadcast_depends_on_measured_size(spark):
-    df = spark.range(1000)
-    assert is_small(df) and not is_small(df, max_rows=999) and not is_small(df, max_bytes=10)
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(broadcast_if_small(df)).lower()
-    assert "broadcast" not in plan(broadcast_if_small(df, max_rows=1)).lower()
-
-
 def test_profile_mode_takes_smallest_on_ties(spark):
     rows = spark.createDataFrame(
         [("f", [0] * n, n > 1) for n in (3, 3, 1, 1, 7)],
@@ -141,12 +132,6 @@ def test_documents_refined_in_place_equal_exploded_rows(spark, sf_dir):
     ))._jdf.queryExecution().executedPlan().toString()
 
 
-def test_assembled_parts_are_bounded(spark):
-    df = spark.range(25).select(F.lit("e").alias("entity"), F.col("id").alias("pos"), F.col("id").alias("v"))
-    parts = R.assemble_documents(df, fields_per_part=10).orderBy("part").collect()
-    assert [[f.v for f in p.fields] for p in parts] == [list(range(10)), list(range(10, 20)), list(range(20, 25))]
-
-
 def test_page_validation(spark):
     bodies = ["{broken", '{"result":[1]}', '{"result":{"data":{"z":1}}}', None, '{"result":{"data":{"country":null}}}', '{"data":{"fields":1}}']
     df = spark.createDataFrame([(str(i), "u", b) for i, b in enumerate(bodies)], "entity string, source_url string, body string")
@@ -190,13 +175,12 @@ def test_url_index_last_wins_and_others_keep_order(spark):
     urls = ["/countries/a", "/countries/a/zoo", "/countries/a/b1", "/countries/a/zoo/", "/countries/a/", "/countries/b/flag"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "pos long, url string")
     pages = I.entity_urls(df, "B", "")
-    nested = {r.slug: r for r in I.nested_index(pages).collect()}
-    assert nested["a"].other == ["B/page-data/countries/a/zoo/page-data.json", "B/page-data/countries/a/b1/page-data.json"]
-    assert nested["b"].main is None and nested["b"].other == []
+    rows = {r.slug: r for r in I.url_index(pages).collect()}
+    others = [(r.slug, r.url) for r in I.other_urls(pages).orderBy("slug", "pos").collect()]
+    assert others == [("a", f"B/page-data/countries/a/{x}/page-data.json") for x in ("zoo", "b1")]
+    assert (rows["a"].other_count, rows["b"].main, rows["b"].other_count) == (2, None, 0)
     counts = I.url_type_counts(I.url_index(pages)).first()
     assert (counts.total_entities, counts.total_urls, counts.main, counts.flag, counts.other) == (2, 5, 1, 1, 2)
-    split = I.nested_index(pages, other_per_part=1).filter("slug = 'a'").orderBy("part").collect()
-    assert [len(r.other) for r in split] == [1, 1]
 
 
 def test_diff(spark):

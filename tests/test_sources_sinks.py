@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldmill.operators import pages as P
+from fieldmill.operators.enrich import enrich_fields
 from fieldmill.plans import runs
 from fieldmill.sinks import tables as S
 from fieldmill.sources import documents, mapping, sitemap, snapshots
-from fieldmill.sources.index import filter_index, read_index
+from fieldmill.sources.index import filter_index, read_index, read_index_documents, read_other_urls
 from fieldmill.streaming import stream_values
 
 
@@ -40,6 +41,12 @@ def test_mapping_file(spark, tmp_path):
     rows = mapping.read_mapping(spark, str(tmp_path / "m.json"))
     assert {tuple(r) for r in rows.collect()} == {("1", "A"), ("2", "B")}
     assert mapping.read_mapping(spark, str(tmp_path / "absent.json")).isEmpty()
+    write(tmp_path / "n.json", json.dumps({"mapping": {"2": "C"}}))
+    both = mapping.read_mapping(spark, str(tmp_path))
+    assert {tuple(r) for r in both.collect()} == {("1", "A"), ("2", "C")}
+    fields = spark.createDataFrame([("e", 0, "2"), ("e", 1, None)], "entity string, pos int, database_id string")
+    twice = both.union(spark.createDataFrame([("2", "B")], both.schema))
+    assert [r.category for r in enrich_fields(fields, twice).orderBy("pos").collect()] == ["C", None]
 
 
 def test_mapping_last_node_wins_and_fallback(spark):
@@ -62,16 +69,36 @@ def test_sitemap_files_and_index(spark, tmp_path):
     got = {r.url for r in sitemap.read_sitemap(spark, str(tmp_path / "in")).collect()}
     assert got == {*urls, "https://h/child.xml"}
     runs.discover_entities(spark, str(tmp_path / "in"), str(tmp_path / "out"), "https://h/s", "/s")
-    index = spark.read.json(str(tmp_path / "out" / "entities"))
-    assert [r.slug for r in index.orderBy("slug").collect()] == ["a", "b"]
+    index = read_index(spark, str(tmp_path / "out"))
+    assert [(r.slug, r.other_count) for r in index.orderBy("slug").collect()] == [("a", 0), ("b", 0)]
+    assert [r.slug for r in filter_index(index, ["b"]).collect()] == ["b"]
+    assert read_other_urls(spark, str(tmp_path / "out")).isEmpty()
     meta = spark.read.json(str(tmp_path / "out" / "metadata")).first()
     assert (meta.total_entities, meta.total_urls, meta.flag) == (2, 3, 1)
+    assert meta.sitemap_url == str(tmp_path / "in")
+
+
+@pytest.mark.parametrize("split", ["400b", "128m"])
+def test_sitemap_order_follows_files_not_splits(spark, tmp_path, split):
+    links = lambda us: "".join(f"<url><loc>https://h/s/countries/{u}</loc></url>" for u in us)
+    write(tmp_path / "a.xml", SITEMAP.format(links(["x/?1", "x/?2"])))
+    write(tmp_path / "b.xml", "<sitemapindex><sitemap><loc>https://h/c.xml</loc></sitemap></sitemapindex>")
+    write(tmp_path / "c.xml", SITEMAP.format(links([f"x/?{k}" for k in range(3, 40)])))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = [r.url for r in sitemap.read_sitemap(spark, str(tmp_path)).orderBy("pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [f"https://h/s/countries/x/?{k}" for k in range(1, 40)]
+    assert got == [*want[:2], "https://h/c.xml", *want[2:]]
 
 
 def test_index_file(spark, tmp_path):
     entity = {"slug": "a", "urls": {"main": "u", "other": ["v"]}}
     write(tmp_path / "i.json", json.dumps({"entities": [entity, {"slug": "b", "urls": {}}]}))
-    rows = read_index(spark, str(tmp_path / "i.json"))
+    rows = read_index_documents(spark, str(tmp_path / "i.json"))
+    assert [r.other_count for r in rows.orderBy("slug").collect()] == [1, 0]
     assert filter_index(rows, ["a"]).first().main == "u" and filter_index(rows).count() == 2
 
 
@@ -117,9 +144,39 @@ def test_runs_end_to_end(spark, tmp_path):
 
     write(landed / "a.json", page("Area", "1 km (2001)<br>3 km", "a"))
     runs.land_snapshot(spark, documents.read_landed_pages(spark, str(landed)), root, "2025-02-01")
+    runs.refine_snapshot(spark, root, dim, "2025-02-01")
+    runs.refine_snapshot(spark, root, dim, "2025-02-01", entities=["a"])
+    for table in ("enriched", "refined"):
+        kept = snapshots.read_snapshot(spark, f"{root}/{table}", "2025-02-01")
+        assert sorted(r.entity for r in kept.collect()) == ["a", "b"]
+    other = spark.createDataFrame([("5", "Other")], dim.schema)
+    runs.refine_snapshot(spark, root, other, "2025-02-01", entities=["a"])
+    kept = snapshots.read_snapshot(spark, f"{root}/refined", "2025-02-01")
+    assert {r.entity: r.category for r in kept.collect()} == {"a": "Other", "b": "Geo"}
     runs.refine_snapshot(spark, root, dim, "2025-02-01", entities=["a"])
     diff = runs.compare_snapshots(spark, root, "2025-01-01", "2025-02-01")
-    assert sorted(r.status for r in diff.collect()) == ["changed", "removed", "removed", "unchanged"]
+    assert sorted(r.status for r in diff.collect()) == ["changed", "unchanged", "unchanged", "unchanged"]
+
+
+def test_landing_again(spark, tmp_path):
+    root = str(tmp_path / "root")
+
+    def land(date, *bodies):
+        rows = [(f"e{i}", "u", b) for i, b in enumerate(bodies)]
+        pages = spark.createDataFrame(rows, "entity string, source_url string, body string")
+        pages = pages.withColumn("scraped_at", F.lit("t"))
+        assert runs.land_snapshot(spark, pages, root, date) == date
+        meta = spark.read.json(f"{root}/reports/{date}/metadata").first()
+        assert meta.snapshot_date == date and meta.duration_seconds >= 0
+        return meta.total_entities, meta.failed
+
+    assert land("2025-01-01", page("f", "x"), page("f", "y"), "{bad") == (3, 1)
+    assert land("2025-01-01", page("f", "x"), page("f", "y")) == (2, 0)
+    assert land("2025-02-01", "{bad", "[]") == (2, 2)
+    assert snapshots.list_snapshots(spark, f"{root}/raw") == ["2025-01-01"]
+    assert spark.read.json(f"{root}/reports/2025-01-01/metadata").first().failed == 0
+    assert land("2025-01-01", "{bad") == (1, 1)
+    assert snapshots.list_snapshots(spark, f"{root}/raw") == []
 
 
 def test_stream_gives_the_batch_result(spark, tmp_path):

@@ -225,6 +225,7 @@ _TABLE_OF = {
     "fields": ("lineitem", FIELDS, None),
     "user_fields": ("events", USER_FIELDS, None),
     "mapping": ("part", PAIRS_MAPPING, MAPPING_FILTER),
+    "mapping_all": ("part", PAIRS_MAPPING, None),
     "landed": ("orders", PAGES, None),
     "site_urls": ("orders", SITE_URLS, None),
     "sitemaps": ("customer", SITEMAPS, None),

@@ -186,6 +186,9 @@ _ENRICHED = (
 )
 ORACLE["category_enrich"] = _ENRICHED + "SELECT entity, pos, database_id, category FROM enriched"
 ORACLE["category_enrich_shuffled"] = ORACLE["category_enrich"]
+ORACLE["category_enrich_repeated"] = (
+    _ENRICHED + "SELECT entity, pos, database_id, 'Z' || category AS category FROM enriched"
+)
 ORACLE["enrich_stats"] = (
     _ENRICHED
     + "SELECT entity, count(*) AS total_fields, count(category) AS fields_with_categories, "
@@ -230,12 +233,6 @@ FROM f JOIN (SELECT entity, bare FROM good) USING (entity)
 UNION ALL
 SELECT entity, 'raw/' || entity || '.json', 0, 0, 0, NULL, NULL, NULL, NULL, NULL FROM o WHERE false"""
 )
-ORACLE["assembled_documents"] = f"""
-WITH fields AS ({derived_sql("fields")}), {_kinds("SELECT * FROM fields")}
-SELECT entity, CAST(floor(pos / 10000) AS INTEGER) AS part, count(*) AS n_fields,
-  string_agg(name, ',' ORDER BY pos, name, structure_type) AS names,
-  string_agg(structure_type, ',' ORDER BY pos, name, structure_type) AS types
-FROM kinds GROUP BY 1, 2"""
 ORACLE["refinement_stats"] = (
     _REFINED
     + "SELECT entity, count(*) AS total_fields, count(*) FILTER (WHERE is_multi_valued)"
@@ -470,9 +467,6 @@ SELECT page_id, path, '{URL_BASE}/page-data' || rtrim(replace(path, '/en', ''),
 FROM (SELECT page_id, regexp_extract(url, '^https?://[^/]*([^?#]*)', 1) AS path FROM pages)"""
 ORACLE["url_index"] = _SITE + "SELECT * EXCLUDE (other) FROM full_idx"
 ORACLE["url_other"] = _SITE + "SELECT slug, url, pos FROM others"
-ORACLE["url_nested_index"] = (
-    _SITE + "SELECT slug, CAST(0 AS BIGINT) AS part, main, other FROM full_idx"
-)
 _TYPES = ("main", "factsheet", "images", "flag", "map", "locator_map")
 ORACLE["url_types"] = (
     _SITE
@@ -493,7 +487,7 @@ ORACLE["index_load"] = (
     " (SELECT 'c' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)"
 )
 
-ORACLE["mapping_load"] = derived_sql("mapping")
+ORACLE["mapping_load"] = derived_sql("mapping_all")
 ORACLE["mapping_extract"] = """
 WITH p AS (SELECT *, CAST(doc_id % 100 AS BIGINT) * 100000000 + doc_id AS page_no FROM documents
   WHERE doc_id >= 40), labels_in AS (

@@ -22,7 +22,7 @@ from fieldmill.operators import refine as R
 from fieldmill.operators import runs as L
 from fieldmill.operators import url_index as I
 from fieldmill.sources import mapping as CM
-from fieldmill.sources.index import filter_index, index_rows
+from fieldmill.sources.index import filter_index
 from fieldmill.sources.sitemap import sitemap_urls
 from fieldmill.sources.snapshots import latest_snapshot
 from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived, spread, table
@@ -189,13 +189,20 @@ def category_enrich(spark, sf_dir):
 @query
 def category_enrich_shuffled(spark, sf_dir):
     joined = E.enrich_fields(
-        derived(spark, sf_dir, "fields"),
-        derived(spark, sf_dir, "mapping"),
-        broadcast_mapping=False,
+        derived(spark, sf_dir, "fields").hint("merge"), derived(spark, sf_dir, "mapping")
     )
     return joined.select("entity", "pos", "database_id", "category")
 
 
+@query
+def category_enrich_repeated(spark, sf_dir):
+    """Ids that the mapping has twice do not multiply fields."""
+    once = derived(spark, sf_dir, "mapping")
+    twice = once.union(once.select("database_id", F.concat(F.lit("Z"), "category")))
+    joined = E.enrich_fields(derived(spark, sf_dir, "fields"), twice)
+    return joined.select("entity", "pos", "database_id", "category")
+
+
 @query
 def enrich_stats(spark, sf_dir):
     return E.enrichment_stats(_enriched(spark, sf_dir))
@@ -229,21 +236,6 @@ def refined_documents(spark, sf_dir):
     )
 
 
-@query
-def assembled_documents(spark, sf_dir):
-    fields = derived(spark, sf_dir, "fields").select(
-        "entity", "pos", "name", X.structure_type(F.col("data")).alias("structure_type")
-    )
-    docs = R.assemble_documents(fields)
-    return docs.select(
-        "entity",
-        "part",
-        F.size("fields").cast("bigint").alias("n_fields"),
-        F.array_join(F.col("fields.name"), ",").alias("names"),
-        F.array_join(F.col("fields.structure_type"), ",").alias("types"),
-    )
-
-
 @query
 def refinement_stats(spark, sf_dir):
     return R.refinement_stats(_refined(spark, sf_dir))
@@ -493,12 +485,6 @@ def url_other(spark, sf_dir):
     return I.other_urls(_entity_urls(spark, sf_dir))
 
 
-@query
-def url_nested_index(spark, sf_dir):
-    index = I.nested_index(_entity_urls(spark, sf_dir))
-    return index.select("slug", "part", "main", F.array_join("other", "|").alias("other"))
-
-
 @query
 def url_types(spark, sf_dir):
     return I.url_type_counts(I.url_index(_entity_urls(spark, sf_dir)))
@@ -511,16 +497,11 @@ def sitemap_scan(spark, sf_dir):
 
 @query
 def index_load(spark, sf_dir):
-    """Nested index documents exploded to rows, filtered by a table of wanted slugs."""
-    nested = I.nested_index(_entity_urls(spark, sf_dir))
-    urls = [c for c in nested.columns if c not in ("slug", "part")]
-    docs = nested.select(
-        F.array(F.struct("slug", F.struct(*urls).alias("urls"))).alias("entities")
-    )
+    """Index rows filtered by a table of wanted slugs."""
     wanted = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
     slugs = wanted.select(F.concat(F.lit("c"), F.col("c_custkey")).alias("slug"))
-    rows = filter_index(index_rows(docs), slugs)
-    return rows.select("slug", "main", "flag", F.size("other").cast("bigint").alias("n_other"))
+    rows = filter_index(I.url_index(_entity_urls(spark, sf_dir)), slugs)
+    return rows.select("slug", "main", "flag", F.col("other_count").alias("n_other"))
 
 
 # ---- mapping -----------------------------------------------------------------------------------------
@@ -528,7 +509,7 @@ def index_load(spark, sf_dir):
 
 @query
 def mapping_load(spark, sf_dir):
-    docs = derived(spark, sf_dir, "mapping").select(
+    docs = derived(spark, sf_dir, "mapping_all").select(
         F.create_map("database_id", "category").alias("mapping")
     )
     return CM.mapping_rows(docs)
