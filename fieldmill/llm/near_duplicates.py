@@ -8,10 +8,11 @@ at the threshold of 0.75 shares none of 32 bands with a chance under one in 180,
 any shingle says nothing and is skipped, which keeps short texts apart and loses none of them.
 
 Copies with the same shingle set are one class from the start.  In every band bucket the members
-are first compared with the least one only, which settles large groups of near copies in linearly
-many comparisons.  What then is still in one bucket but in different components is compared pair by
-pair, after the length bound and the corrected estimate from the sketches.  All links are confirmed
-on full shingle sets.
+are first compared with the least one only, after the corrected estimate from the sketches, which
+settles most groups of near copies in linearly many comparisons.  In buckets that then still hold
+different components, the sketches of all members are compared; what is tied by plausible links is a
+cluster, whose blocks are compared exactly.  Neither step makes a row for each pair.  All links are
+confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,14 @@ BUCKET_BITS = 7
 MANTISSA_BITS = 10
 BANDS = 32
 #: standard deviations of the estimate allowed below the threshold before a pair is dropped
-MARGIN = 6.5
+MARGIN = 5.0
+#: bounds of a block of a cluster whose documents are compared with each other
+BLOCK_DOCUMENTS = 1000
+#: members of a bucket whose sketches one task compares
+BLOCK_MEMBERS = 4000
+BLOCK_SHINGLES = 400_000
+#: up to so many ids (8 bytes each) are broadcast to pick documents without a shuffle of their texts
+MAX_BROADCAST_IDS = 2_000_000
 #: constant of the published collision estimate (fixed value)
 COLLISION_CONSTANT = 0.169919487159739
 
@@ -127,6 +134,8 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 names=["doc_id", "shingles"],
             )
 
+    if ids.count() <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)  # else texts have to be shuffled
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi")
     return chosen.mapInArrow(run, "doc_id long, shingles array<long>")
 
@@ -135,11 +144,8 @@ def _is_link(common: Column, n: Column, m: Column) -> Column:
     return 100 * common >= THRESHOLD_PERCENT * (n + m - common)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows of ``pairs`` (a, b) whose full sets reach the threshold."""
-    pairs = cut(pairs)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut(_sets(docs, ids).dropDuplicates(["doc_id"]))
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -151,22 +157,168 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def _may_reach(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Rows whose estimated similarity is not far below the threshold."""
+    guess, used = similarity_estimate(a, b, n, m)
+    slack = MARGIN * np.sqrt(0.1875 / np.maximum(1, used))
+    return guess + slack >= THRESHOLD_PERCENT / 100
+
+
+def _register_rows(column) -> np.ndarray:
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(-1, 1 << BUCKET_BITS)
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Drop pairs whose estimated similarity is far below the threshold."""
+    """The rows of ``pairs`` (a, b) that may reach the threshold by their sketches."""
     a = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bands").alias("ba"))
     b = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bands").alias("bb"))
 
-    def run(frames):
-        for frame in frames:
-            if not len(frame):
-                continue
-            x = np.stack(frame["ba"].to_numpy()).astype(np.int64).view(np.uint16)
-            y = np.stack(frame["bb"].to_numpy()).astype(np.int64).view(np.uint16)
-            guess, used = similarity_estimate(x, y, frame["na"].to_numpy(), frame["nb"].to_numpy())
-            slack = MARGIN * np.sqrt(0.25 / np.maximum(1, used))
-            yield pd.DataFrame(frame.loc[guess + slack >= THRESHOLD_PERCENT / 100, ["a", "b"]])
+    def run(batches):
+        for batch in batches:
+            x, y = _register_rows(batch.column("ba")), _register_rows(batch.column("bb"))
+            n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(_may_reach(x, y, n, m)))
+
+    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
+
 
-    return pairs.join(a, "a").join(b, "b").mapInPandas(run, "a long, b long")
+def _dealt(members: DataFrame, group: list[str], blocks: Column) -> DataFrame:
+    """``members`` (rep, ...) of groups in blocks: a row for each pair of blocks (low, high) that its
+    own block is part of.  A group of one block is one pair."""
+    sizes = members.groupBy(*group).agg(F.ceil(blocks).alias("_blocks"))
+    own, other = F.col("own"), F.col("_other")
+    return (
+        members.join(sizes, group)
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("_blocks")))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+        .withColumns({"low": F.least(own, other), "high": F.greatest(own, other)})
+        .drop("_blocks", "_other")
+    )
+
+
+def _clusters(open_: DataFrame, held: DataFrame) -> DataFrame:
+    """(rep, cluster): members of ``open_`` (rep, comp, band, key) tied by plausible links.
+
+    All pairs of a bucket are looked at in numpy, block by block; what comes out is not the pairs but
+    for each member that has any the least member tied to it.
+    """
+    dealt = _dealt(open_, ["band", "key"], F.count("*") / F.lit(BLOCK_MEMBERS)).join(held, "rep")
+    group = ["band", "key", "low", "high"]
+
+    def run(batches):
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if kept is not None and kept.num_rows:
+                table = pa.concat_tables([kept, table])
+            columns = [table.column(c).to_numpy() for c in group]
+            new = np.ones(table.num_rows, bool)
+            for c in columns:
+                new[1:] &= c[1:] == c[:-1]
+            new[1:] = ~new[1:]
+            last = int(np.flatnonzero(new)[-1]) if len(new) else 0
+            kept = table.slice(last)
+            if last:
+                yield ties(table.slice(0, last), np.cumsum(new[:last]))
+        if kept is not None and kept.num_rows:
+            yield ties(kept, np.zeros(kept.num_rows))
+
+    def ties(table, groups):
+        rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "comp", "n"))
+        own, low, high = (table.column(c).to_numpy() for c in ("own", "low", "high"))
+        registers = _register_rows(table.column("bands"))
+        root = np.arange(len(rep))
+        at, step = root, 1
+        while True:
+            at = at[at + step < len(rep)]
+            at = at[groups[at] == groups[at + step]]
+            if not len(at):
+                break
+            i, j = at, at + step
+            new = (comp[i] != comp[j]) & (root[i] != root[j])
+            new &= (low[i] == high[i]) | (own[i] != own[j])
+            new &= 100 * np.minimum(n[i], n[j]) >= THRESHOLD_PERCENT * np.maximum(n[i], n[j])
+            i, j = i[new], j[new]
+            new = _may_reach(registers[i], registers[j], n[i], n[j])
+            i, j = i[new], j[new]
+            while len(i):
+                a, b = root[i], root[j]
+                apart = a != b
+                i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+                np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+                while not np.array_equal(root, root[root]):
+                    root = root[root]
+            step += 1
+        tied = np.flatnonzero(root != np.arange(len(rep)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rep[root[tied]]), pa.array(rep[tied])], names=["a", "b"]
+        )
+
+    edges = dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, "a long, b long")
+    return components(edges).select(F.col("node").alias("rep"), F.col("component_id").alias("cluster"))
+
+
+def _links_in_clusters(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) between different components of ``members`` (rep, n, comp, cluster).
+
+    A cluster is dealt into blocks of bounded size, each pair of blocks is one task's work, and inside
+    it all common shingles are counted at once.  A task hands on no more links than it takes to join
+    its components.
+    """
+    documents, shingles = F.lit(BLOCK_DOCUMENTS), F.lit(BLOCK_SHINGLES)
+    blocks = F.greatest(F.count("*") / documents, F.sum("n") / shingles)
+    dealt = _dealt(members, ["cluster"], blocks).withColumnRenamed("rep", "doc_id")
+    return (
+        dealt.join(sets, "doc_id")
+        .groupBy("cluster", "low", "high")
+        .applyInArrow(_joining_links, "a long, b long")
+    )
+
+
+def _joining_links(table: pa.Table) -> pa.Table:
+    names, comps, own = (table.column(c).to_numpy() for c in ("doc_id", "comp", "own"))
+    lists = table.column("shingles").combine_chunks()
+    sizes = np.diff(np.asarray(lists.offsets))
+    doc = np.repeat(np.arange(len(names)), sizes)
+    _, column, times = np.unique(
+        lists.flatten().to_numpy(), return_inverse=True, return_counts=True
+    )
+    shared = times[column] > 1
+    doc, column = doc[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    column = np.cumsum(np.append(False, column[1:] != column[:-1]))[: len(column)]
+    common = np.zeros((len(names), len(names)), np.float32)
+    width = 4096
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (low, low + width))
+        part = np.zeros((len(names), width), np.float32)
+        part[doc[a:b], column[a:b] - low] = 1
+        common += part @ part.T
+    total = sizes[:, None] + sizes[None, :]
+    links = (100 * common >= THRESHOLD_PERCENT * (total - common)) & (comps[:, None] != comps)
+    if table.column("low")[0] != table.column("high")[0]:
+        links &= own[:, None] != own
+    parent = {c: c for c in comps.tolist()}
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    found = []
+    for i, j in np.argwhere(np.triu(links)).tolist():
+        a, b = root(int(comps[i])), root(int(comps[j]))
+        if a != b:
+            parent[a] = b
+            found.append((int(names[i]), int(names[j])))
+    return pa.table(
+        {
+            "a": pa.array([x for x, _ in found], pa.int64()),
+            "b": pa.array([y for _, y in found], pa.int64()),
+        }
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -191,7 +343,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             ["rep", "set_a", "set_b"],
         )
         .select("rep", "n", "bands")
-        .dropDuplicates(["rep", "n", "bands"])
     )
     held = cut(held)
     bucket = ["band", "key"]
@@ -204,26 +355,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.col("centre").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
-    first = cut(first)
-    links = cut(_verified(docs, _plausible(first, held)))
+    sets = cut(_sets(docs, cut(starred.select(F.col("rep").alias("doc_id")).distinct())))
+    links = cut(_verified(sets, _plausible(first, held)).distinct())
     joined = cut(components(links).withColumnRenamed("node", "rep"))
 
     placed = starred.join(joined, "rep", "left").select(
         "rep", "n", *bucket, F.coalesce("component_id", "rep").alias("comp")
     )
     split = placed.groupBy(*bucket).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_ = cut(placed.join(split.where("lo != hi").select(*bucket), bucket))
-    x = open_.select(*bucket, *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "comp")))
-    y = open_.select(*bucket, *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "comp")))
-    second = (
-        x.join(y, bucket)
-        .where("rep_a < rep_b and comp_a != comp_b")
-        .where("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
-        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    more = _verified(docs, _plausible(second, held))
+    open_ = placed.join(split.where("lo != hi").select(*bucket), bucket)
+    tied = _clusters(open_.select("rep", "comp", *bucket), held)
+    members = cut(placed.select("rep", "n", "comp").distinct().join(tied, "rep"))
+    more = _links_in_clusters(sets, members)
     joined = components(links.union(more)).withColumnRenamed("node", "rep")
 
     named = (
