@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from fieldmill.functions.dates import normalize_date
 from fieldmill.schemas import IMAGE, IMAGES, MEDIA, RAW_FIELD
 
-_ERROR = "Invalid JSON structure"
+# fixed value: error text of a page that fails validation
+PAGE_ERROR = "Invalid JSON structure"
 # fixed values: texts of a JSON scalar or container that count as false
 _FALSY = ("", "false", "null", "0", "0.0", "[]", "{}")
 
@@ -141,10 +142,22 @@ def parse_bodies(pages: DataFrame) -> DataFrame:
     )
 
 
+def _rows_where(parsed: DataFrame, condition: Column, *columns) -> DataFrame:
+    """``columns`` of the rows that meet ``condition`` on the parsed document.
+
+    A filter would be pushed down and parse every body once more; a generator of one row or none
+    stays above the parse.
+    """
+    row = F.explode_outer(F.when(condition, F.array(F.struct(*columns)))).alias("_row")
+    return parsed.select(row).filter(F.col("_row").isNotNull()).select("_row.*")
+
+
 def page_metadata(parsed: DataFrame, iso_first: bool = False) -> DataFrame:
     """Name, region, update date and field count per valid page."""
     doc = F.col("doc")
-    return parsed.filter("is_valid").select(
+    return _rows_where(
+        parsed,
+        F.col("is_valid"),
         "entity",
         member(doc, "result.data.country.name").alias("name"),
         member(doc, "result.data.country.region").alias("region"),
@@ -156,7 +169,9 @@ def page_metadata(parsed: DataFrame, iso_first: bool = False) -> DataFrame:
 def page_assets(parsed: DataFrame) -> DataFrame:
     """Flag, map, locator map and images per valid page."""
     doc = F.col("doc")
-    return parsed.filter("is_valid").select(
+    return _rows_where(
+        parsed,
+        F.col("is_valid"),
         "entity",
         image_asset(doc, "result.data.country.flag").alias("flag"),
         image_asset(doc, "result.data.country.map").alias("map"),
@@ -184,8 +199,13 @@ def page_fields(parsed: DataFrame) -> DataFrame:
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Invalid pages with their raw body and the error."""
-    return parsed.filter(~F.col("is_valid")).select(
-        "entity", "source_url", "body", F.lit(_ERROR).alias("error")
+    return _rows_where(
+        parsed,
+        ~F.col("is_valid"),
+        "entity",
+        "source_url",
+        "body",
+        F.lit(PAGE_ERROR).alias("error"),
     )
 
 
@@ -204,7 +224,7 @@ def parse_pages(pages: DataFrame, iso_first: bool = False) -> DataFrame:
         F.when(ok, F.coalesce(F.size(_nodes(doc)), F.lit(0))).alias("field_count"),
         F.col("scraped_at").cast("string").alias("scraped_at"),
         F.col("source_url").alias("source_url"),
-        F.when(~ok, _ERROR).alias("error"),
+        F.when(~ok, PAGE_ERROR).alias("error"),
     )
     assets = F.struct(
         image_asset(doc, "result.data.country.flag").alias("flag"),

@@ -220,3 +220,11 @@ def test_same_result_for_any_number_of_shuffle_partitions(spark, sf_dir):
         return sorted(map(tuple, rows))
 
     assert profile("1") == profile("64")
+
+
+def test_one_parse_per_body(spark):
+    bodies = spark.createDataFrame([("e", "u", "s", "{}")], "entity string, source_url string, scraped_at string, body string")
+    parsed = P.parse_bodies(bodies)
+    for frame in (P.page_metadata(parsed), P.page_assets(parsed), P.page_fields(parsed), P.quarantine(parsed), P.parse_pages(bodies)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1, plan

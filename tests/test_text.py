@@ -17,10 +17,10 @@ def evaluate(spark, fn, texts):
 
 def test_split(spark):
     cases = {
-        "Value 1<br>Value 2<br>Value 3": ["Value 1", "Value 2", "Value 3"],
-        "Value 1<br><br>Value 2": ["Value 1", "Value 2"],
-        "A<br>B<br/>C<br />D<BR>": ["A", "B", "C", "D"],
-        "Single value": ["Single value"],
+        "north<br>south<br>east": ["north", "south", "east"],
+        "north<br><br>south": ["north", "south"],
+        "k<br>l<br/>m<br />n<BR>": ["k", "l", "m", "n"],
+        "one piece": ["one piece"],
         "": [],
         None: [],
         "<br>": [],
@@ -91,14 +91,14 @@ def test_multi_flag_option_for_notes(spark):
     "text, expected",
     [
         (
-            "<strong>2023:</strong> 12M<br><br><strong>2024:</strong> 14M",
-            [("2023", "12M", None, 0), ("2024", "14M", None, 1)],
+            "<strong>1998:</strong> 5 t<br><br><strong>1999:</strong> 7 t",
+            [("1998", "5 t", None, 0), ("1999", "7 t", None, 1)],
         ),
         (
-            "lost<br><strong>revenues:</strong> $9 billion<br><b>note:</b> mid  note<br>"
+            "lost<br><strong>tolls:</strong> 9 coins<br><b>note:</b> mid  note<br>"
             "<strong>spend::</strong> $7<br><strong>e:</strong><br><b>Note: </b>last<br/>one",
             [
-                ("revenues", "$9 billion", None, 0),
+                ("tolls", "9 coins", None, 0),
                 ("spend", "$7", None, 1),
                 ("note", "mid note", None, 3),
                 ("note", "last one", None, 4),
@@ -120,9 +120,9 @@ def test_keyed_values(spark, text, expected):
 
 
 def test_sub_values(spark):
-    row = refine(spark, "<strong>Site and email</strong><br><br>www.x (2021)<br><br>c@x")
+    row = refine(spark, "<strong>Phone and fax</strong><br><br>www.x (2021)<br><br>c@x")
     (item,) = row["values"]
-    assert (item.key, item["value"], item.order) == ("Site and email", None, 0)
+    assert (item.key, item["value"], item.order) == ("Phone and fax", None, 0)
     assert [(s["value"], s.year) for s in item.sub_values] == [("www.x (2021)", "2021"), ("c@x", None)]
     assert refine(spark, "<strong>k:</strong>")["values"][0].sub_values == []
 
@@ -135,10 +135,10 @@ def test_decode_entities_for_keyed_text_only(spark):
 
 def test_years(spark):
     cases = {
-        "0.6% of GDP (2024 est.)": "2024",
-        "Data from (2022)": "2022",
-        "12.8% (2024 est.) (male 2,570,596/female 3,461,743)": "2024",
-        "Multiple years (2023) and (2024 est.)": None,
+        "7 kg per head (2019 est.)": "2019",
+        "Counted in (2018)": "2018",
+        "44 km (2017 est.) (road 30/rail 14)": "2017",
+        "Between (2011) and (2012 est.)": None,
         "x" * 113 + " (2024)": "2024",
         "x" * 114 + " (2024)": None,
         "(2024 est)": None,
@@ -159,15 +159,15 @@ def test_years(spark):
 
 def test_dates(spark):
     cases = {
-        "September 30, 2025": "2025-09-30",
-        "30 September 2025": "2025-09-30",
-        "  30 september 2025 ": "2025-09-30",
-        "September 2025": "2025-09-01",
-        "2025": "2025-01-01",
-        "Sep 30, 2025": "2025-01-01",
-        "February 30, 2025": "2025-01-01",
-        "31 September 2025": "2025-09-01",
-        "2025-10-28": "2025-01-01",
+        "June 30, 2021": "2021-06-30",
+        "30 June 2021": "2021-06-30",
+        "  30 june 2021 ": "2021-06-30",
+        "June 2021": "2021-06-01",
+        "2021": "2021-01-01",
+        "Jun 30, 2021": "2021-01-01",
+        "February 30, 2021": "2021-01-01",
+        "31 June 2021": "2021-06-01",
+        "2021-10-28": "2021-01-01",
         "updated: May 1, 2024": "2024-05-01",
         "soon": "soon",
         "": None,
@@ -175,4 +175,4 @@ def test_dates(spark):
     }
     assert evaluate(spark, D.normalize_date, cases) == list(cases.values())
     iso = lambda t: D.normalize_date(t, iso_first=True)
-    assert evaluate(spark, iso, ["2025-10-28", "2025-13-40"]) == ["2025-10-28", "2025-01-01"]
+    assert evaluate(spark, iso, ["2021-10-28", "2021-13-40"]) == ["2021-10-28", "2021-01-01"]
