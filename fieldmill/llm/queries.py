@@ -21,7 +21,7 @@ from fieldmill.llm.warc import through_archives
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
-    return through_archives(table(spark, sf_dir, "pages"), folder)
+    return through_archives(table(spark, sf_dir, "pages"), folder).drop("uri", "record_id")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("n_copies")
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
