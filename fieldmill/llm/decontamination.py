@@ -147,52 +147,58 @@ def _best(item: np.ndarray, words: np.ndarray, text_at: np.ndarray, item_at: np.
     return found
 
 
-def _matches(docs: DataFrame, items: Items) -> DataFrame:
+def _matcher(docs: DataFrame, items: Items):
+    """A function from a list of texts to the (number of the text, item_id, score, start, end) of
+    their matches."""
     wanted = np.unique(items.gram)
     chosen = _seeds(items, wanted, _frequencies(docs, items, wanted))
     order = chosen[np.argsort(items.gram[chosen], kind="stable")]
     seed, seed_item, seed_pos = items.gram[order], items.item[order], items.pos[order]
-    distinct = np.unique(seed)
-    first = np.searchsorted(seed, np.append(distinct, distinct[-1:]), "left")
-    first[len(distinct) :] = len(seed)
+    distinct, first = np.unique(seed, return_index=True)
+    first = np.append(first, len(seed))
     ids, words_of, sizes = items.ids, items.words, items.sizes
 
-    def run(batches):
-        for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = []
-            for low, high in slices(texts):
-                block = word_block(texts[low:high], plain=True)
-                at, found = _grams_of(block, sizes, distinct)
-                times = first[found + 1] - first[found] if len(found) else np.zeros(0, np.int64)
-                at = np.repeat(at, times)
-                place = np.repeat(first[found], times) if len(found) else at
-                if len(at):
-                    place = place + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-                doc, item = block.doc[at], seed_item[place]
-                order = np.lexsort((at, item, doc))
-                doc, item, at, place = doc[order], item[order], at[order], place[order]
-                new = np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))
-                cuts = np.append(np.flatnonzero(new), len(doc)) if len(doc) else np.zeros(1, int)
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    i, k = int(doc[a]), int(item[a])
-                    begin = block.first[i]
-                    score, start, end = _best(
-                        words_of[k],
-                        block.hash[begin : block.first[i + 1]],
-                        at[a:b] - begin,
-                        seed_pos[place[a:b]],
-                    )
-                    if score >= THRESHOLD:
-                        rows.append((names[low + i], ids[k], score, start, end))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                names=["doc_id", "item_id", "score", "start_word", "end_word"],
-            )
-
-    return docs.mapInArrow(run, MATCHES)
+    def matches(texts):
+        for low, high in slices(texts):
+            block = word_block(texts[low:high], plain=True)
+            at, found = _grams_of(block, sizes, distinct)
+            # each seed found stands for all its places in items
+            times = first[found + 1] - first[found]
+            ahead = np.cumsum(times) - times
+            place = np.repeat(first[found] - ahead, times) + np.arange(times.sum())
+            at = np.repeat(at, times)
+            doc, item = block.doc[at], seed_item[place]
+            order = np.lexsort((at, item, doc))
+            doc, item, at, place = doc[order], item[order], at[order], place[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
+            cuts = np.append(np.flatnonzero(new), len(doc))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                i, k = int(doc[a]), int(item[a])
+                begin = block.first[i]
+                score, start, end = _best(
+                    words_of[k],
+                    block.hash[begin : block.first[i + 1]],
+                    at[a:b] - begin,
+                    seed_pos[place[a:b]],
+                )
+                if score >= THRESHOLD:
+                    yield low + i, ids[k], score, start, end
+
+    return matches
+
+
+def _blocks(benchmark: DataFrame, block_words: int):
+    """The items of ``benchmark`` in blocks of about ``block_words`` words."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").distinct()
+    items = items.where("text is not null")
+    total = items.agg(F.sum(F.size(F.split(F.trim("text"), "\\s+")))).first()[0] or 0
+    blocks = max(1, -(-total // block_words))
+    for block in range(blocks):
+        own = items
+        if blocks > 1:
+            own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield Items.of(sorted((tuple(r) for r in own.collect()), key=str))
 
 
 def contaminated(
@@ -207,21 +213,39 @@ def contaminated(
     the first of the best is told; empty tables give no rows; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    items = benchmark.select(F.col("item_id").cast("long"), "text").distinct()
-    total = items.agg(F.sum(F.size(F.split(F.trim("text"), "\\s+")))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
     found = None
-    for block in range(blocks):
-        own = items
-        if blocks > 1:
-            own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted((tuple(r) for r in own.where("text is not null").collect()), key=str)
-        part = _matches(docs, Items.of(rows))
+    for items in _blocks(benchmark, block_words):
+        matches = _matcher(docs, items)
+
+        def run(batches, matches=matches):
+            for batch in batches:
+                names = batch.column(0).to_pylist()
+                rows = [(names[i], *rest) for i, *rest in matches(batch.column(1).to_pylist())]
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                    names=["doc_id", "item_id", "score", "start_word", "end_word"],
+                )
+
+        part = docs.mapInArrow(run, MATCHES)
         found = part if found is None else found.union(part)
     return found
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a benchmark item."""
-    hit = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark item; rows are judged one by one."""
+    left = docs
+    for items in _blocks(benchmark, block_words):
+        matches = _matcher(docs.select("doc_id", "text"), items)
+
+        def run(batches, matches=matches):
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                clean[[i for i, *_ in matches(batch.column("text").to_pylist())]] = False
+                yield batch.filter(pa.array(clean))
+
+        left = left.mapInArrow(run, docs.schema)
+    return left
