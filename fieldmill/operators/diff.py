@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: what identifies a value within a snapshot
@@ -17,10 +16,11 @@ def snapshot_diff(
 ) -> DataFrame:
     """``keys, old_value, new_value, status, copies``; null keys and null values compare equal.
 
-    Both sides are stacked and counted per (keys, value) instead of joined: one shuffle, collapsed
-    map-side, and repeated rows never multiply.  A slot with at most one row per side is added,
-    removed, changed or unchanged.  A slot with repeats is compared as a bag: equal values are
-    unchanged, what is left over is removed or added, and ``copies`` says how often.
+    Both sides are stacked and counted per (keys, value) instead of joined: repeated rows collapse
+    map-side and never multiply.  One more exchange brings a slot together, and everything about it
+    comes from windows on that one sort.  A slot with at most one row per side is added, removed,
+    changed or unchanged.  A slot with repeats is compared as a bag: equal values are unchanged, what
+    is left over is removed or added, and ``copies`` says how often.
     """
     keys = list(keys)
 
@@ -39,53 +39,48 @@ def snapshot_diff(
         .agg(F.sum("_o").alias("_o"), F.sum("_n").alias("_n"))
     )
     in_old, in_new = F.col("_o") > 0, F.col("_n") > 0
-    slots = counts.groupBy(*keys).agg(
-        F.sum("_o").alias("_olds"),
-        F.sum("_n").alias("_news"),
-        F.count(F.lit(1)).alias("_distinct"),
-        F.max(F.when(in_old, F.col("_value"))).alias("old_value"),
-        F.max(F.when(in_new, F.col("_value"))).alias("new_value"),
+    slot = Window.partitionBy(*keys)
+    slots = counts.withColumns(
+        {
+            "_olds": F.sum("_o").over(slot),
+            "_news": F.sum("_n").over(slot),
+            "_distinct": F.count(F.lit(1)).over(slot),
+            "_old": F.max(F.when(in_old, F.col("_value"))).over(slot),
+            "_new": F.max(F.when(in_new, F.col("_value"))).over(slot),
+        }
     )
-    repeats = (F.col("_olds") > 1) | (F.col("_news") > 1)
-    single = slots.filter(~repeats).select(
-        *keys,
-        "old_value",
-        "new_value",
+    status = (
         F.when(F.col("_olds") == 0, "added")
         .when(F.col("_news") == 0, "removed")
         .when(F.col("_distinct") == 1, "unchanged")
         .otherwise("changed")
-        .alias("status"),
-        F.lit(1).cast("bigint").alias("copies"),
-    )
-    repeated_keys = slots.filter(repeats).select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-    same_slot = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     )
+    # of a changed slot's two values the new one speaks for it
+    speaks = in_new | (F.col("_news") == 0)
+    once = F.lit(1).cast("bigint")
+    single = _outcome(F.col("_old"), F.col("_new"), status, F.when(speaks, once).otherwise(0))
     both = F.least("_o", "_n")
     nothing = F.lit(None).cast(counts.schema["_value"].dataType)
-    outcomes = F.array(
-        _outcome(F.col("_value"), F.col("_value"), "unchanged", both),
-        _outcome(F.col("_value"), nothing, "removed", F.col("_o") - both),
-        _outcome(nothing, F.col("_value"), "added", F.col("_n") - both),
-    )
-    repeated = (
-        # the keys are unique, so this is a semi join; written as one it would be pushed below the
-        # counts, which would then be computed again instead of reused
-        counts.join(repeated_keys, same_slot, "inner")
-        .select(*keys, F.explode(outcomes).alias("_out"))
+    repeated = [
+        _outcome(F.col("_value"), F.col("_value"), F.lit("unchanged"), both),
+        _outcome(F.col("_value"), nothing, F.lit("removed"), F.col("_o") - both),
+        _outcome(nothing, F.col("_value"), F.lit("added"), F.col("_n") - both),
+    ]
+    repeats = (F.col("_olds") > 1) | (F.col("_news") > 1)
+    outcomes = F.when(repeats, F.array(*repeated)).otherwise(F.array(single))
+    return (
+        slots.select(*keys, F.explode_outer(outcomes).alias("_out"))
         .select(*keys, "_out.*")
         .filter(F.col("copies") > 0)
     )
-    return single.unionByName(repeated)
 
 
-def _outcome(old_value, new_value, status: str, copies):
+def _outcome(old_value: Column, new_value: Column, status: Column, copies: Column) -> Column:
     return F.struct(
         old_value.alias("old_value"),
         new_value.alias("new_value"),
-        F.lit(status).alias("status"),
-        copies.alias("copies"),
+        status.alias("status"),
+        copies.cast("bigint").alias("copies"),
     )
 
 

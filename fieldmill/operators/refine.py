@@ -16,21 +16,25 @@ from fieldmill.functions.numbers import percentage
 from fieldmill.functions.years import extract_year_smart
 
 
-def _value(value: Column, order: Column, key: Column | None = None) -> Column:
+def _year(value: Column, years: bool) -> Column:
+    return extract_year_smart(value) if years else F.lit(None).cast("string")
+
+
+def _value(value: Column, order: Column, years: bool, key: Column | None = None) -> Column:
     return F.struct(
         (F.lit(None).cast("string") if key is None else key).alias("key"),
         value.alias("value"),
-        extract_year_smart(value).alias("year"),
+        _year(value, years).alias("year"),
         order.cast("int").alias("order"),
         F.lit(None).cast("array<struct<value:string,year:string>>").alias("sub_values"),
     )
 
 
-def _simple_values(data: Column) -> Column:
-    return F.transform(X.split_values(data), lambda v, i: _value(v, i))
+def _simple_values(data: Column, years: bool) -> Column:
+    return F.transform(X.split_values(data), lambda v, i: _value(v, i, years))
 
 
-def _single_key(data: Column) -> Column:
+def _single_key(data: Column, years: bool) -> Column:
     nothing = F.lit(None).cast("string")
     return F.array(
         F.struct(
@@ -40,13 +44,13 @@ def _single_key(data: Column) -> Column:
             F.lit(0).alias("order"),
             F.transform(
                 X.split_values(X.sub_value_html(data)),
-                lambda v: F.struct(v.alias("value"), extract_year_smart(v).alias("year")),
+                lambda v: F.struct(v.alias("value"), _year(v, years).alias("year")),
             ).alias("sub_values"),
         )
     )
 
 
-def _keyed(contents: Column, has_notes: bool = False) -> Column:
+def _keyed(contents: Column, years: bool, has_notes: bool = False) -> Column:
     """Values of ``struct<k, c, i>``: key HTML, content, order.
 
     Each step names what the next one uses more than once.  A pair with an empty key or value is
@@ -67,7 +71,7 @@ def _keyed(contents: Column, has_notes: bool = False) -> Column:
         ),
     )
     kept = F.filter(read, lambda x: (x["k"] != "") & (x["v"] != ""))
-    return F.transform(kept, lambda x: _value(x["v"], x["i"], x["k"]))
+    return F.transform(kept, lambda x: _value(x["v"], x["i"], years, x["k"]))
 
 
 def _pair_contents(data: Column) -> Column:
@@ -89,14 +93,18 @@ def _note_contents(data: Column) -> Column:
     )
 
 
-def structured_values(data: Column, kind: Column) -> Column:
-    """``array<VALUE>`` for text of the given structure type; notes follow all pairs."""
+def structured_values(data: Column, kind: Column, years: bool = True) -> Column:
+    """``array<VALUE>`` for text of the given structure type; notes follow all pairs.
+
+    Without ``years`` they stay null, which saves their patterns where values are only counted.
+    """
     # a note's own content holds no further note tag, so ending at one only concerns pairs
-    noted = _keyed(F.concat(_pair_contents(data), _note_contents(data)), has_notes=True)
+    contents = F.concat(_pair_contents(data), _note_contents(data))
+    noted = _keyed(contents, years, has_notes=True)
     return (
-        F.when(kind == X.SIMPLE, _simple_values(data))
-        .when(kind == X.KEY_WITH_SUB_VALUES, _single_key(data))
-        .when(kind == X.KEY_VALUE_PAIRS, _keyed(_pair_contents(data)))
+        F.when(kind == X.SIMPLE, _simple_values(data, years))
+        .when(kind == X.KEY_WITH_SUB_VALUES, _single_key(data, years))
+        .when(kind == X.KEY_VALUE_PAIRS, _keyed(_pair_contents(data), years))
         .otherwise(noted)
     )
 
@@ -122,13 +130,19 @@ def _prepare(fields: DataFrame, decode_entities: bool) -> DataFrame:
 
 
 def refine_fields(
-    fields: DataFrame, notes_multi_valued: bool = False, decode_entities: bool = False
+    fields: DataFrame,
+    notes_multi_valued: bool = False,
+    decode_entities: bool = False,
+    years: bool = True,
 ) -> DataFrame:
-    """Add ``structure_type``, ``values`` and ``is_multi_valued``; drop ``data`` and ``media``."""
+    """Add ``structure_type``, ``values`` and ``is_multi_valued``; drop ``data`` and ``media``.
+
+    Profiles, statistics and totals need only the number of values: ``years=False`` serves them.
+    """
     kind = F.col("structure_type")
     return (
         _prepare(fields, decode_entities)
-        .withColumn("values", structured_values(F.col("data"), kind))
+        .withColumn("values", structured_values(F.col("data"), kind, years))
         .withColumn(
             "is_multi_valued",
             X.is_multi_valued(kind, F.size("values"), notes_multi_valued),

@@ -228,3 +228,17 @@ def test_one_parse_per_body(spark):
     for frame in (P.page_metadata(parsed), P.page_assets(parsed), P.page_fields(parsed), P.quarantine(parsed), P.parse_pages(bodies)):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1, plan
+
+
+def test_diff_shuffles_twice_and_joins_nothing(spark):
+    side = spark.createDataFrame([("e", "n", "k", 0, "v")], "entity string, name string, key string, `order` int, value string")
+    plan = S.snapshot_diff(side, side)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_counting_needs_no_years(spark):
+    rows = fields(spark, [("e", 0, "n", None, None, False, "a (2001)<br>b")])
+    full, lean = R.refine_fields(rows), R.refine_fields(rows, years=False)
+    assert full.schema == lean.schema
+    assert "[0-9]{4}" not in lean._jdf.queryExecution().optimizedPlan().toString()
+    assert [len(d.first()["values"]) for d in (full, lean)] == [2, 2]

@@ -40,6 +40,11 @@ def _refined(spark, sf_dir) -> DataFrame:
     return R.refine_fields(derived(spark, sf_dir, "fields"))
 
 
+def _counted(spark, sf_dir) -> DataFrame:
+    """Refined fields for queries that only count values."""
+    return R.refine_fields(derived(spark, sf_dir, "fields"), years=False)
+
+
 def _text_fields(spark, sf_dir) -> DataFrame:
     """Documents as fields: every line of the text is one value."""
     return spread(table(spark, sf_dir, "documents"), "documents").select(
@@ -238,12 +243,12 @@ def refined_documents(spark, sf_dir):
 
 @query
 def refinement_stats(spark, sf_dir):
-    return R.refinement_stats(_refined(spark, sf_dir))
+    return R.refinement_stats(_counted(spark, sf_dir))
 
 
 @query
 def refinement_summary(spark, sf_dir):
-    return R.refinement_summary(R.refinement_stats(_refined(spark, sf_dir)))
+    return R.refinement_summary(R.refinement_stats(_counted(spark, sf_dir)))
 
 
 # ---- profiles --------------------------------------------------------------------------------------
@@ -251,17 +256,17 @@ def refinement_summary(spark, sf_dir):
 
 @query
 def multi_value_profile(spark, sf_dir):
-    return M.multi_value_profile(_refined(spark, sf_dir))
+    return M.multi_value_profile(_counted(spark, sf_dir))
 
 
 @query
 def multi_value_summary(spark, sf_dir):
-    return M.multi_value_summary(M.multi_value_profile(_refined(spark, sf_dir)))
+    return M.multi_value_summary(M.multi_value_profile(_counted(spark, sf_dir)))
 
 
 @query
 def multi_value_top(spark, sf_dir):
-    return M.top_multi_valued(M.multi_value_profile(_refined(spark, sf_dir)))
+    return M.top_multi_valued(M.multi_value_profile(_counted(spark, sf_dir)))
 
 
 @query
@@ -349,7 +354,7 @@ def export_refined(spark, sf_dir):
 
 @query
 def export_summary(spark, sf_dir):
-    refined = O.filter_fields(_refined(spark, sf_dir), None, _EXPORT_CATEGORIES)
+    refined = O.filter_fields(_counted(spark, sf_dir), None, _EXPORT_CATEGORIES)
     return O.export_summary(refined, "2025-01-01", (), _EXPORT_CATEGORIES)
 
 
