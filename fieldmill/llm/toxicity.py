@@ -21,7 +21,7 @@ from fieldmill.llm.words import slices
 GRAM_SIZES = (4, 5, 6)
 FEATURE_BITS = 20
 #: at most about so many labelled texts are used for fitting, chosen by a hash of doc_id
-MAX_TRAINING_ROWS = 40_000
+MAX_TRAINING_ROWS = 20_000
 #: at most so many features enter the regression
 MAX_FEATURES = 6_000
 #: an n-gram counts as evidence from so many training texts on
@@ -29,6 +29,7 @@ MIN_TEXTS = 4
 SMOOTHING = 0.5
 THRESHOLD = 0.3
 PENALTY = 2.0
+_PIECE = 1 << 19
 
 #: letters and digits of ASCII stay, all else of it is a space
 _PLAIN = np.array([c if chr(c).isalnum() else 32 for c in range(128)], np.uint32)
@@ -82,15 +83,26 @@ class Model:
         return out
 
 
-def _logistic(rows, cols, values, labels, n_cols, penalty, steps=10, inner=15):
-    """Slopes and bias of an L2-regularised logistic regression, by truncated Newton steps."""
-    n = len(labels)
+def _logistic(rows, cols, ratios, labels, penalty, steps=10, inner=15):
+    """Slopes and bias of an L2-regularised logistic regression, by truncated Newton steps.
+
+    Text ``rows[k]`` has feature ``cols[k]``, whose input is its ratio.  Products go over pieces of
+    these arrays, so that only the narrow arrays themselves take memory.
+    """
+    n, n_cols = len(labels), len(ratios)
+    pieces = [slice(k, k + _PIECE) for k in range(0, len(rows), _PIECE)]
 
     def times(x):
-        return np.bincount(rows, values * x[cols], n) + x[-1]
+        scaled, out = ratios * x[:-1], np.zeros(n)
+        for piece in pieces:
+            out += np.bincount(rows[piece], scaled[cols[piece]], n)
+        return out + x[-1]
 
     def back(x):
-        return np.append(np.bincount(cols, values * x[rows], n_cols), x.sum())
+        out = np.zeros(n_cols)
+        for piece in pieces:
+            out += np.bincount(cols[piece], x[rows[piece]], n_cols)
+        return np.append(ratios * out, x.sum())
 
     pull = np.append(np.full(n_cols, float(penalty)), 1e-6)
     share = (labels.sum() + 0.5) / (n + 1)
@@ -204,9 +216,9 @@ def fit(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Model:
     held = sample.mapInArrow(to_columns, "toxic int, places binary").toArrow()
     places = [np.frombuffer(x, np.int16) for x in held.column("places").to_pylist()]
     labels = held.column("toxic").to_numpy().astype(float)
-    cols = np.concatenate(places).astype(np.int64)
-    rows = np.repeat(np.arange(len(places)), [len(x) for x in places])
-    slope, bias = _logistic(rows, cols, ratios[cols], labels, len(features), PENALTY)
+    cols = np.concatenate(places)
+    rows = np.repeat(np.arange(len(places), dtype=np.int32), [len(x) for x in places])
+    slope, bias = _logistic(rows, cols, ratios, labels, PENALTY)
     return Model(column, slope * ratios, bias)
 
 
