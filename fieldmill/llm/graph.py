@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from fieldmill.llm.tables import cut
 
+LINKS_PER_TASK = 200_000
+MIN_TASKS = 4
+
 
 def _with_minimum(sides: DataFrame) -> DataFrame:
     """Each (u, v) with the least node next to u, u itself included.
@@ -29,17 +32,22 @@ def components(edges: DataFrame) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
+    # links are narrow: few tasks for few of them, as each task of a shuffle leaves files behind
+    parts = max(MIN_TASKS, edges.count() // LINKS_PER_TASK)
+    edges = edges.coalesce(parts)
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
+        large = large.where("u != v").coalesce(parts).distinct().coalesce(parts)
         small = _with_minimum(large)
         edges = cut(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(small.select("u", F.col("m").alias("v")))
             .where("u != v")
+            .coalesce(parts)
             .distinct()
+            .coalesce(parts)
         )
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
