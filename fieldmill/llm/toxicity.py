@@ -30,6 +30,8 @@ SMOOTHING = 0.5
 THRESHOLD = 0.3
 PENALTY = 2.0
 _PIECE = 1 << 19
+#: characters featurized at once
+_BLOCK = 1 << 18
 
 #: letters and digits of ASCII stay, all else of it is a space
 _PLAIN = np.array([c if chr(c).isalnum() else 32 for c in range(128)], np.uint32)
@@ -76,7 +78,7 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
-        for low, high in slices(texts):
+        for low, high in slices(texts, _BLOCK):
             doc, feature = _grams(texts[low:high], self.column)
             total = np.bincount(doc, self.weights[self.column[feature]], high - low)
             out[low:high] = 1 / (1 + np.exp(-np.clip(total + self.bias, -30, 30)))
@@ -161,7 +163,7 @@ def fit(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Model:
             texts = batch.column(1).to_pylist()
             labels = np.array(batch.column(2).to_pylist(), np.int64)
             texts_seen += np.bincount(labels, minlength=2)
-            for low, high in slices(texts):
+            for low, high in slices(texts, _BLOCK):
                 doc, feature = _grams(texts[low:high])
                 label = labels[low:high][doc]
                 for k in (0, 1):
@@ -204,7 +206,7 @@ def fit(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Model:
     def to_columns(batches):
         for batch in batches:
             texts, found = batch.column(1).to_pylist(), []
-            for low, high in slices(texts):
+            for low, high in slices(texts, _BLOCK):
                 doc, feature = _grams(texts[low:high], column)
                 bounds = np.searchsorted(doc, np.arange(high - low + 1))
                 places = column[feature].astype(np.int16)
