@@ -339,7 +339,8 @@ def repeated_spans(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
         "doc_id is not null and text is not null"
     )
     kept = cut(suffixes(docs))
-    often = kept.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
+    # written out, so that the join reads plain shuffles and AQE can split a very frequent seed
+    often = cut(kept.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"))
     rows = cut(_with_context(docs, kept.join(often, "seed")))
     found = _compare_sorted(rows.where(F.col("n") <= max_group)).union(
         _compare_by_window(rows.where(F.col("n") > max_group))
