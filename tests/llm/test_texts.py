@@ -221,6 +221,45 @@ def test_edited_leaks(spark):
     assert D.contaminated(frame.limit(0), items).count() == 0
 
 
+def test_leaks_without_unchanged_runs(spark):
+    item = [f"w{i}" for i in range(20)]
+    short = ["x0", "x1", "x2"]
+    texts = [
+        *([f"new{i}" if i % k == k - 1 else w for i, w in enumerate(item)] for k in (3, 4, 6)),
+        [x for w in item for x in (w, "in")][:-1],
+        [w for i, w in enumerate(item) if i % 4],
+        [x for i, w in enumerate(item) for x in ((w, "in", "between") if i % 3 == 0 else (w,))],
+        ["x0", "new", "x2"],
+        ["x0", "x2"],
+        ["x1", "new", "x2"],
+    ]
+    random = np.random.default_rng(7)
+    for _ in range(300):
+        texts.append(
+            [
+                x
+                for w in item
+                for x in [[w], [w], [w, "in"], ["new"], [], [w, w], ["w3"]][random.integers(7)]
+            ]
+        )
+    texts = [["out"] * 9 + t + ["out"] * 9 for t in texts]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id long, text string")
+    want = {}
+    for k, t in enumerate(texts):
+        for i, x in ((1, item), (2, short)):
+            score = slow_alignment(x, t)
+            if score >= 0.5:
+                want[k, i] = round(score, 9)
+    assert {k for k, _ in want} >= set(range(9))
+    got = D.contaminated(frame, items).collect()
+    assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got} == want
+    assert {r.doc_id for r in D.drop_contaminated(frame, items).collect()} == set(
+        range(len(texts))
+    ) - {k for k, _ in want}
+
+
 def test_alignment_like_the_textbook():
     rng = np.random.default_rng(3)
     for _ in range(50):
