@@ -4,8 +4,10 @@ Every DOM node gets the density of its text: characters per tag, lowered the mor
 tags are links, on a scale set by the link share of the whole body.  The sum of its children's
 densities marks a node that holds many dense parts; the node with the greatest sum is the core of the
 page.  The least density on its path up to the body is the threshold: any node that reaches it
-contributes the node of greatest sum below it.  Parts that name themselves as menus, footers, adverts
-and the like are left out before.
+contributes the node of greatest sum below it.  Where such a node stands in an article or main element,
+the whole element counts, as the threshold alone loses headings over a single dense paragraph.  Boxes of
+links below the threshold stay out of what is gained that way, and of a core around articles.  Parts that name themselves as
+menus, footers, adverts and the like are left out before.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ _BLOCK = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol "
     "optgroup option p pre section summary table tbody td tfoot th thead title tr ul caption".split()
 )
+_BOXES = frozenset("center details dir div dl fieldset ol section table ul".split())
 _ENDS_P = _BLOCK - frozenset("body html head option optgroup dd dt li td th tr tbody".split())
 #: a start tag ends these open elements, but not beyond the second ones
 _ENDS = {
@@ -196,8 +199,9 @@ class Page:
         return " ".join("".join(out).split())
 
 
-def _densities(page: Page) -> tuple[list[float], list[float]]:
-    """Composite text density and density sum of each node; asides count as absent."""
+def _densities(page: Page) -> tuple[list[float], list[float], list[bool]]:
+    """Composite text density and density sum of each node, and whether it is a box of links, with
+    several of them for most of its text; asides count as absent."""
     n = len(page.tag)
     own = [0] * n
     for node, piece in zip(page.owner, page.pieces, strict=True):
@@ -230,13 +234,17 @@ def _densities(page: Page) -> tuple[list[float], list[float]]:
     for node in range(1, n):
         sums[page.parent[node]] += density[node]
         inner[page.parent[node]] = inner[page.parent[node]] or not page.aside[node]
-    return density, [s if k else d for s, k, d in zip(sums, inner, density, strict=True)]
+    sums = [s if k else d for s, k, d in zip(sums, inner, density, strict=True)]
+    links = [
+        page.tag[k] in _BOXES and link_tags[k] > 1 and 2 * link_chars[k] > chars[k] for k in range(n)
+    ]
+    return density, sums, links
 
 
 def main_text(source: str | None) -> str:
     """The article of a page; empty for a null, empty or textless page."""
     page = Page(source or "")
-    density, sums = _densities(page)
+    density, sums, links = _densities(page)
     n = len(page.tag)
     core = max(range(n), key=lambda k: (sums[k], -k))
     if not sums[core]:
@@ -247,9 +255,6 @@ def main_text(source: str | None) -> str:
         if page.tag[node] == "body":
             break
         node = page.parent[node]
-    root = next((k for k in reversed(path) if page.tag[k] in ("article", "main")), None)
-    if root is not None:
-        return page.text([root])
     threshold = min(density[k] for k in path)
     # of each node, the node of greatest sum at or below it
     best = list(range(n))
@@ -257,7 +262,26 @@ def main_text(source: str | None) -> str:
         up = page.parent[node]
         if sums[best[node]] > sums[best[up]]:
             best[up] = best[node]
-    chosen = {best[k] for k in range(n) if density[k] >= threshold and density[k] > 0}
+    dense = {best[k] for k in range(n) if density[k] >= threshold and density[k] > 0}
+    # the outermost article or main element around each node, whether a dense node or such an element
+    # is at or below it, and whether it is in a dense node that is no frame around these
+    root, inside = [-1] * n, [False] * n
+    holds, frame = [k in dense for k in range(n)], [tag in ("#page", "html", "body") for tag in page.tag]
+    for node in range(n - 1, 0, -1):
+        up = page.parent[node]
+        holds[up] = holds[up] or holds[node]
+        frame[up] = frame[up] or frame[node] or page.tag[node] in ("article", "main")
+    for node in range(1, n):
+        up = page.parent[node]
+        root[node] = root[up]
+        if root[node] < 0 and page.tag[node] in ("article", "main"):
+            root[node] = node
+        inside[node] = inside[up] or (node in dense and not frame[node])
+    chosen = {k if root[k] < 0 else root[k] for k in dense}
+    for node in range(1, n):
+        if links[node] and density[node] < threshold and not (inside[node] or holds[node]):
+            page.aside[node] = True
+        page.aside[node] = page.aside[node] or page.aside[page.parent[node]]
     outer = []
     for node in sorted(chosen):
         up = page.parent[node]

@@ -177,6 +177,21 @@ def test_main_text_by_density_alone():
     assert main_text(html) == " ".join((LONG * 3).split())
 
 
+def test_threshold_beyond_one_article():
+    other = LONG.replace("plain", "other")
+    both = " ".join((LONG + other).split())
+    two = f"<article><p>{LONG}</p><p>{LONG}</p></article><article><p>{other}</p></article>"
+    links = "".join(f"<li><a href=/{k}>link number {k}</a>" for k in range(30))
+    page = f"<body><div><ul>{links}</ul></div>{{}}<div><ul>{links}</ul></div>"
+    assert main_text(page.format(two)) == " ".join((LONG * 2 + other).split())
+    beside = f"<main><p>{LONG}</p></main><div><p>{other}</p></div>"
+    assert main_text(page.format(beside)) == both
+    # boxes of links in main fall under the threshold, its heading does not go
+    box = f"<main><h1>Title</h1><div><ul>{links}</ul></div><div><p>{LONG}</p><p>{other}</p></div></main>"
+    assert main_text(page.format(box)) == f"Title {both}"
+    assert main_text(f"<article><h1>Title</h1><p>{LONG}</p></article>") == f"Title {LONG.strip()}"
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
     assert main_text(deep) == "x"
