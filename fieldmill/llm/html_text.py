@@ -6,8 +6,9 @@ densities marks a node that holds many dense parts; the node with the greatest s
 page.  The least density on its path up to the body is the threshold: any node that reaches it
 contributes the node of greatest sum below it.  Where such a node stands in an article or main element,
 the whole element counts, as the threshold alone loses headings over a single dense paragraph.  Boxes of
-links below the threshold stay out of what is gained that way, and of a core around articles.  Parts that name themselves as
-menus, footers, adverts and the like are left out before.
+links below the threshold stay out of what is gained that way, and of a core around articles.  Parts that
+name themselves as menus, footers, adverts and the like are left out before; a class or id says so only as a whole, and not
+where the element holds most of the text or a heading of an article.
 """
 
 from __future__ import annotations
@@ -47,13 +48,27 @@ _ASIDE_TAGS = frozenset(
     "head nav footer aside form script style noscript iframe button select textarea svg canvas "
     "template dialog menu object embed input title".split()
 )
-_ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|side-?bar\w*|menu\w*|nav|"
-    r"navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|disqus\w*|respond|cookie\w*|"
-    r"consent|gdpr|notices?|alert|newsletter|subscribe|subscription|signup|login|popup|modal|share|"
-    r"sharing|social|related|recommend\w*|widget\w*|pagination|pager|toolbar|search)(?:$|[\s_-])",
-    re.IGNORECASE,
+_ADVERT = r"ads?|advert[^\W_]*|adsense|sponsor[^\W_]*|promo[^\W_]*|cookie[^\W_]*|consent|gdpr|comments?|disqus[^\W_]*|respond"
+_FRAME = (
+    r"banner[^\W_]*|side-?bar[^\W_]*|menu[^\W_]*|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|notices?|"
+    r"alert|newsletter|subscribe|subscription|signup|login|popup|modal|share|sharing|social|related|"
+    r"recommend[^\W_]*|widget[^\W_]*|pagination|pager|toolbar|search"
 )
+_PLACE = (
+    "site|page|main|global|top|bottom|left|right|upper|lower|primary|secondary|mobile|desktop|fixed|sticky|"
+    "box|bar|area|block|wrap|wrapper|container|inner|outer|list|item|items|links?|buttons?|icons?|form|"
+    "unit|slot|slots|text|message|thread|section|posts?|articles?|stories|media|web|article|[0-9]+"
+)
+#: a whole class or id of listed words, and others only for where or what kind of box it is
+_ASIDE_NAME = re.compile(
+    rf"(?:(?:{_PLACE})[_-]+)*(?:{_ADVERT}|{_FRAME})(?:[_-]+(?:{_ADVERT}|{_FRAME}|{_PLACE}))*", re.IGNORECASE
+)
+#: such a word makes it no part of the core, however much it holds
+_NEVER_CORE = re.compile(rf"(?:^|[_-])(?:{_ADVERT})(?:$|[_-])", re.IGNORECASE)
+#: names of headings of a part
+_HEADER_NAME = re.compile(r"(?:^|[_-])(?:header|masthead|banner)(?:$|[_-])", re.IGNORECASE)
+#: that are headings of a part also with these words before
+_PART = re.compile(r"section[_-]+header", re.IGNORECASE)
 _ASIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert form menu".split()
 )
@@ -74,10 +89,61 @@ class Page:
         self.owner: list[int] = []
         self._open: list[int] = []
         self._articles = 0
+        #: elements that are asides by class or id alone: the names that say so
+        self.named: dict[int, list[str]] = {}
         self._start("#page", "")
         self._read(source)
         while self._open:
             self._end()
+        self._judge_names()
+
+    def _judge_names(self) -> None:
+        """Make the elements of ``named`` asides, except for what the core stands in or is headed by."""
+        if not self.named:
+            return
+        n = len(self.tag)
+        chars, root, heads = [0] * n, [-1] * n, [False] * n
+        linked = [tag == "a" for tag in self.tag]
+        for node in range(1, n):
+            up = self.parent[node]
+            linked[node] = linked[node] or linked[up]
+            root[node] = node if root[up] < 0 and self.tag[node] in ("article", "main") else root[up]
+        for node, piece in zip(self.owner, self.pieces, strict=True):
+            if not (linked[node] or self.aside[node]):
+                chars[node] += len("".join(piece.split()))
+        for node in range(n - 1, 0, -1):
+            up = self.parent[node]
+            chars[up] += chars[node]
+            title = self.tag[node] == "h1"
+            heads[up] = heads[up] or heads[node] or title
+            heads[node] = heads[node] or title
+        articles = [k for k in range(1, n) if root[k] == k and chars[k]]
+        for node in range(1, n):
+            up = self.parent[node]
+            names = self.named.get(node)
+            if names and not self.aside[up]:
+                whole = chars[max(0, root[up])]
+                never = any(_NEVER_CORE.search(x) for x in names)
+                # an article elsewhere is the core, not a side part longer than it
+                beside = root[up] < 0 and any(not self._below(k, node) for k in articles)
+                core = 2 * chars[node] > whole and not beside
+                title = root[up] >= 0 and (heads[node] or self._headed(node, names))
+                self.aside[node] = never or not (core or title)
+            self.aside[node] = self.aside[node] or self.aside[up]
+
+    def _below(self, node: int, top: int) -> bool:
+        return self.first[top] <= self.first[node] and self.last[node] <= self.last[top] and node > top
+
+    def _headed(self, node: int, names: list[str]) -> bool:
+        """Whether ``node`` is named a header and holds a heading."""
+        if not any(_HEADER_NAME.search(x) for x in names):
+            return False
+        k = node
+        while k < len(self.tag) and (k == node or self._below(k, node)):
+            if self.tag[k] in ("h1", "h2", "h3", "h4", "h5", "h6"):
+                return True
+            k += 1
+        return False
 
     def _add(self, piece: str) -> None:
         self.pieces.append(piece)
@@ -88,19 +154,28 @@ class Page:
             self._add("\n")
         aside = tag in _ASIDE_TAGS or (tag == "header" and not self._articles)
         self._articles += tag in ("article", "main")
+        names: list[str] = []
         if not aside and marks and tag not in ("html", "body"):
             for name, a, b, c in _MARKS.findall(marks):
                 value = a or b or c
                 if name.lower() == "role":
                     aside = aside or value.strip().lower() in _ASIDE_ROLES
-                elif tag not in ("article", "main") or "comment" in value.lower():
-                    aside = aside or bool(_ASIDE_NAMES.search(value))
+                else:
+                    names += [
+                        x
+                        for x in value.split()
+                        if (tag not in ("article", "main") or "comment" in x.lower())
+                        and _ASIDE_NAME.fullmatch(x)
+                        and not _PART.fullmatch(x)
+                    ]
         parent = self._open[-1] if self._open else -1
         self.tag.append(tag)
         self.parent.append(parent)
         self.first.append(len(self.pieces))
         self.last.append(0)
         self.aside.append(aside or (parent >= 0 and self.aside[parent]))
+        if names and not aside:
+            self.named[len(self.tag) - 1] = names
         self._open.append(len(self.tag) - 1)
 
     def _end(self) -> None:

@@ -192,6 +192,29 @@ def test_threshold_beyond_one_article():
     assert main_text(f"<article><h1>Title</h1><p>{LONG}</p></article>") == f"Title {LONG.strip()}"
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body><div class='main no-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<body><div class='content with-sidebar'><p>{LONG}</p></div><div class=sidebar>s</div>", LONG),
+        (f"<article><div class='entry-header'><h2>T</h2></div><p>{LONG}</p></article>", f"T {LONG}"),
+        (f"<article><div class=header><h1>T</h1></div><p>{LONG}</p></article>", f"T {LONG}"),
+        (f"<main><div class=section-header>T</div><p>{LONG}</p><div class=related-work>R</div></main>", f"T {LONG}R"),
+        (f"<main><p>{LONG}</p><ol class='search-results'><li>one<li>two</ol></main>", f"{LONG}one two"),
+        (f"<body><div id=menu-of-day></div><div class=menu><p>{LONG}</p></div>", LONG),
+        (f"<article class='post comments-open'><p>{LONG}</p></article>", LONG),
+        # these still go, however long
+        (f"<article><p>{LONG}</p><div class='comment-list'><p>{LONG * 3}</p></div></article>", LONG),
+        (f"<body><div class='cookie-notice'>{LONG * 3}</div><article><p>{LONG}</p></article>", LONG),
+        (f"<body><div class='left-sidebar'><p>{LONG * 3}</p></div><article><p>{LONG}</p></article>", LONG),
+        (f"<article><p>{LONG}</p><div class='share-buttons'>x</div><div class='related-posts'><h3>y</h3></div></article>", LONG),
+        (f"<body><div id=site-header><h1>S</h1></div><article><p>{LONG}</p></article><div id='page_footer'>f</div>", LONG),
+    ],
+)
+def test_parts_by_name(html, want):
+    assert main_text(html) == " ".join(want.split())
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
     assert main_text(deep) == "x"
