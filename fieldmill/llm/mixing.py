@@ -5,24 +5,28 @@ Each source is a stream of blocks of about equal size.  With a target weight w,
 earliest takes the next place of the mix.  As the weights add up to 1, every block meets its window,
 so at any place each source is less than one block away from its share.
 
-Weights are whole shares of a period (1,000 places by default).  Such a schedule repeats after a
-period, in which every source gets exactly its shares.  So only one period is ever scheduled; block i
-of a source with s shares takes place ``period * (i div s) + place[i mod s]``, which every row
-computes for itself.  The mix lasts until the source that is largest for its weight is used up; a
-smaller source starts over until then, as often as its weight asks for.
+Weights are rational numbers and never rounded, so this holds however long the mix is.  The places are
+computed once, for blocks and not for rows: a place takes a few microseconds, and 8 bytes are kept for
+each block of about 256,000 characters.  The mix lasts until the source that is largest for its weight
+is used up; a smaller source starts over until then, as often as its weight asks for.
 """
 
 from __future__ import annotations
 
 import heapq
-
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
+from math import inf, lcm
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmill.llm.tables import cut
 
-#: places of a period; weights are rounded to whole shares of it
-PERIOD = 1_000
 #: characters of a block; a text longer than that makes its block longer
 BLOCK_CHARS = 1 << 18
 #: default weights follow the size of a source to this power
@@ -31,7 +35,7 @@ FLATTEN = 0.7
 BUCKET_DOCUMENTS = 20_000
 
 
-def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
+def shares(weights: dict[str, float], period: int) -> dict[str, int]:
     """Whole shares that add up to ``period``, at least one each, by largest remainder."""
     if len(weights) > period:
         raise ValueError(f"{len(weights)} sources need a period of at least as many places")
@@ -47,21 +51,47 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     return out
 
 
+def turns(weights: dict[str, float]) -> Iterator[tuple[str, int]]:
+    """The endless mix, earliest deadline first: (source, block of the source) for each place."""
+    if any(not 0 < w < inf for w in weights.values()):
+        raise ValueError("weights must be positive")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * unit) for s, w in exact.items()}
+    total = sum(whole.values())
+    coming = [(0, s, 0) for s in whole]
+    heapq.heapify(coming)
+    ready, place = [], 0
+    while whole:
+        while coming[0][0] <= place:
+            _, source, i = coming[0]
+            n = whole[source]
+            heapq.heappush(ready, (-(-(i + 1) * total // n), source, i))
+            heapq.heapreplace(coming, ((i + 1) * total // n, source, i + 1))
+        _, source, i = heapq.heappop(ready)
+        yield source, i
+        place += 1
+
+
 def schedule(parts: dict[str, int]) -> list[tuple[str, int, int]]:
-    """One period, earliest deadline first: (source, block of the period, place)."""
+    """One period of whole shares: (source, block of the period, place)."""
     period = sum(parts.values())
-    coming = sorted(
-        (i * period // n, -(-(i + 1) * period // n), s, i) for s, n in parts.items() for i in range(n)
-    )
-    ready, out, at = [], [], 0
-    for place in range(period):
-        while at < len(coming) and coming[at][0] <= place:
-            _, due, source, i = coming[at]
-            heapq.heappush(ready, (due, source, i))
-            at += 1
-        _, source, i = heapq.heappop(ready)
-        out.append((source, i, place))
-    return out
+    return [(s, i, place) for place, (s, i) in enumerate(islice(turns(parts), period))]
+
+
+def _first_places(weights: dict[str, float], blocks: dict[str, int]):
+    """The place of each block of each source, and how many places each has till all have had one."""
+    places = {s: array("q") for s in blocks}
+    given = dict.fromkeys(blocks, 0)
+    left = sum(blocks.values())
+    for place, (source, i) in enumerate(turns(weights)):
+        given[source] = i + 1
+        if i < blocks[source]:
+            places[source].append(place)
+            left -= 1
+            if not left:
+                break
+    return places, given
 
 
 def _key(source: Column) -> Column:
@@ -72,7 +102,7 @@ def _key(source: Column) -> Column:
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
-    period: int = PERIOD,
+    period: int | None = None,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with block, place and repeats.
@@ -100,25 +130,26 @@ def mix(
         }
     )
     sums = cut(sized.groupBy("_key", "_bucket").agg(F.sum("_size").alias("_sum")))
-    totals = sums.groupBy("_key").agg(F.sum("_sum").alias("chars")).limit(period + 1).collect()
+    totals = sums.groupBy("_key").agg(F.sum("_sum").alias("chars")).collect()
     blocks = {r["_key"]: max(1, -(-r["chars"] // block_chars)) for r in totals}
     named = {"null" if s is None else f"={s}": w for s, w in (weights or {}).items()}
-    parts = shares({s: named.get(s, n**FLATTEN) for s, n in blocks.items()}, period)
-    turns = schedule(parts)
-    place_of = {(s, i): place for s, i, place in turns}
+    target = {s: named.get(s, n**FLATTEN) for s, n in blocks.items()}
+    if period is not None:
+        target = shares(target, period)
     # the mix ends with the last block that has not been in it before
-    length = 1 + max(
-        ((n - 1) // parts[s] * period + place_of[s, (n - 1) % parts[s]] for s, n in blocks.items()),
-        default=-1,
-    )
-    given = {s: length // period * n for s, n in parts.items()}
-    for s, _, place in turns:
-        given[s] += place < length % period
+    places, given = _first_places(target, blocks)
     spark = docs.sparkSession
-    plan = spark.createDataFrame(turns, "_key string, _i long, _place long")
+    names, counts = list(blocks), np.array(list(blocks.values()), np.int64)
+    of = np.repeat(np.arange(len(names)), counts)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = np.concatenate([np.zeros(0, np.int64), *(np.asarray(places[s], np.int64) for s in names)])
+    plan = spark.createDataFrame(
+        pa.table({"_number": of, "block": number, "place": at}),
+        "_number long, block long, place long",
+    )
     facts = spark.createDataFrame(
-        [(s, n, blocks[s], given[s]) for s, n in parts.items()],
-        "_key string, _shares long, _blocks long, _given long",
+        [(s, k, blocks[s], given[s]) for k, s in enumerate(names)],
+        "_key string, _number long, _blocks long, _given long",
     )
 
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
@@ -128,7 +159,7 @@ def mix(
     )
     within = before.partitionBy("_key", "_bucket").orderBy("_order", "doc_id")
     start = F.col("_ahead") + F.coalesce(F.col("_inside"), F.lit(0))
-    # both tables hold at most one row for each place of the period
+    # the tables hold a row for each source and each block
     placed = (
         sized.withColumn("_inside", F.sum("_size").over(within))
         .join(ahead, ["_key", "_bucket"])
@@ -137,14 +168,7 @@ def mix(
             "block",
             F.least(F.floor(start / F.lit(block_chars)).cast("long"), F.col("_blocks") - 1),
         )
-        .withColumn("_i", F.col("block") % F.col("_shares"))
-        .join(F.broadcast(plan), ["_key", "_i"])
+        .join(F.broadcast(plan), ["_number", "block"])
     )
-    whole = F.floor(F.col("block") / F.col("_shares")).cast("long")
     repeats = F.floor((F.col("_given") - 1 - F.col("block")) / F.col("_blocks")).cast("long") + 1
-    return placed.select(
-        *docs.columns,
-        "block",
-        (whole * F.lit(period) + F.col("_place")).alias("place"),
-        repeats.alias("repeats"),
-    )
+    return placed.select(*docs.columns, "block", "place", repeats.alias("repeats"))

@@ -3,6 +3,8 @@
 import hashlib
 import json
 from collections import Counter
+from fractions import Fraction
+from itertools import islice
 
 import pytest
 from hypothesis import given, settings
@@ -247,6 +249,39 @@ def test_schedule_deviates_less_than_a_block(weights):
         assert all(abs(seen[s] * 100 - n * (place + 1)) < 100 for s, n in parts.items())
 
 
+@pytest.mark.parametrize(
+    "weights",
+    [
+        {str(i): n**0.7 for i, n in enumerate([40_000, *[4_000] * 18, 3])},
+        {"a": 0.9999, "b": 0.0001},
+        {str(i): 1 + i % 3 for i in range(1_500)},
+    ],
+)
+def test_unrounded_weights_over_a_long_mix(weights):
+    total, seen = sum(map(Fraction, weights.values())), Counter()
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    for place, (source, i) in enumerate(islice(M.turns(weights), 25_000), 1):
+        assert i == seen[source]
+        # between its own places the count only falls behind
+        assert i - share[source] * (place - 1) > -1 and i + 1 - share[source] * place < 1
+        seen[source] += 1
+        if place % 1_000 == 0:
+            assert all(abs(seen[s] - w * place) < 1 for s, w in share.items())
+
+
+def test_mix_of_small_weights_and_many_sources(spark):
+    rows = [(i, "x" * 10, "big" if i < 4_000 else "small") for i in range(4_002)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = M.mix(frame, {"big": 0.9995, "small": 0.0005}, block_chars=10).collect()
+    big = sorted(r.place for r in mixed if r.source == "big")
+    small = sorted(r.place for r in mixed if r.source == "small")
+    assert sorted(big + small) == list(range(4_002)) and {r.repeats for r in mixed} == {1}
+    assert [p // 2_000 for p in small] == [0, 1]
+    many = frame.selectExpr("doc_id", "text", "doc_id % 1200 AS source")
+    mixed = M.mix(many, block_chars=10).collect()
+    assert len(mixed) == 4_002 and len({r.place for r in mixed}) == 4_002
+
+
 def test_mix_keeps_rows_and_shares(docs):
     mixed = M.mix(docs, period=50, block_chars=3_000).cache()
     assert mixed.count() == docs.count() and mixed.select(docs.columns).exceptAll(docs).isEmpty()
