@@ -4,8 +4,10 @@ Each distinct shingle hash falls into one of 128 buckets.  A bucket's register k
 hash only the number of leading zeros and the ten bits after them: 16 bits, zero for an empty bucket.
 Four neighbouring registers are one band, so a band is one 64-bit number and 32 bands are a whole
 sketch.  Two documents at similarity s share a given band with a chance of at least s**4, so a pair
-at the threshold of 0.75 shares none of 32 bands with a chance under one in 180,000; a band without
-any shingle says nothing and is skipped, which keeps short texts apart and loses none of them.
+at the threshold of 0.75 shares none of 32 bands with a chance under one in 180,000, if it has shingles
+in most bands; a band without any says nothing and is skipped.  In short texts few bands decide (sets
+of four and three shingles share none with a chance of one in 32,768), so sets of up to 20 shingles also
+meet by their least shingles: two at the threshold have one of the first n - ceil(0.75 n) + 1 in common.
 
 Copies with the same shingle set are one class from the start.  In every band bucket the members
 are first compared with the least one only, after the corrected estimate from the sketches, which
@@ -34,7 +36,9 @@ BUCKET_BITS = 7
 MANTISSA_BITS = 10
 BANDS = 32
 #: standard deviations of the estimate allowed below the threshold before a pair is dropped
-MARGIN = 5.0
+MARGIN = 6.5
+#: sets of up to so many shingles meet by single shingles as well
+SHORT_SHINGLES = 20
 #: bounds of a block of a cluster whose documents are compared with each other
 BLOCK_DOCUMENTS = 1000
 #: members of a bucket whose sketches one task compares
@@ -45,7 +49,7 @@ MAX_BROADCAST_IDS = 2_000_000
 #: constant of the published collision estimate (fixed value)
 COLLISION_CONSTANT = 0.169919487159739
 
-SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, least array<long>"
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -99,12 +103,14 @@ def sketches(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            n, a, b, bands = [], [], [], []
+            n, a, b, bands, least = [], [], [], [], []
             for found in shingle_sets(texts):
                 n.append(len(found))
                 a.append(int(mix(found ^ U(0x5851F42D4C957F2D)).sum(dtype=U).astype(np.int64)))
                 b.append(int(mix(found ^ U(0x14057B7EF767814F)).sum(dtype=U).astype(np.int64)))
                 bands.append(registers(found).view(np.int64))
+                first = len(found) + 1 + -len(found) * THRESHOLD_PERCENT // 100
+                least.append(found[:first].view(np.int64).tolist() if len(found) <= SHORT_SHINGLES else [])
             flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
             offsets = np.arange(len(n) + 1, dtype=np.int32) * BANDS
             yield pa.RecordBatch.from_arrays(
@@ -114,8 +120,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                     pa.array(a, pa.int64()),
                     pa.array(b, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array(least, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "least"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, SKETCH)
@@ -160,7 +167,7 @@ def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 def _may_reach(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Rows whose estimated similarity is not far below the threshold."""
     guess, used = similarity_estimate(a, b, n, m)
-    slack = MARGIN * np.sqrt(0.1875 / np.maximum(1, used))
+    slack = MARGIN * np.sqrt(0.25 / np.maximum(1, used))
     return guess + slack >= THRESHOLD_PERCENT / 100
 
 
@@ -339,14 +346,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     held = (
         classes.select("rep", F.col("n_shingles").alias("n"), "set_a", "set_b")
         .join(
-            real.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "bands"),
+            real.select(F.col("doc_id").alias("rep"), "set_a", "set_b", "bands", "least"),
             ["rep", "set_a", "set_b"],
         )
-        .select("rep", "n", "bands")
+        .select("rep", "n", "bands", "least")
     )
     held = cut(held)
     bucket = ["band", "key"]
     members = held.select("rep", "n", F.posexplode("bands").alias("band", "key")).where("key != 0")
+    singles = held.select("rep", "n", F.lit(BANDS).alias("band"), F.explode("least").alias("key"))
+    members, held = members.union(singles), held.drop("least")
     centres = members.groupBy(*bucket).agg(F.min("rep").alias("centre"), F.count("*").alias("m"))
     starred = members.join(centres.where("m > 1"), bucket)
     starred = cut(starred.select("rep", "n", "band", "key", "centre"))

@@ -72,6 +72,15 @@ def test_families_of_edited_copies_in_small_blocks(spark, monkeypatch):
     assert found(frame) == brute_components(rows)
 
 
+def test_short_near_duplicates_without_a_common_band(spark):
+    words = [f"11190{c}" for c in "abcdefgh"]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:7])), (3, " ".join(words[::-1]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    a, b = (set(r.bands) - {0} for r in N.sketches(frame.where("doc_id < 3")).collect())
+    assert not a & b
+    assert {r.doc_id: r.component_id for r in N.near_duplicates(frame).collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_near_duplicates_of_odd_rows(odd):
     got = N.near_duplicates(odd).collect()
     assert len(got) == odd.count()
