@@ -7,7 +7,7 @@ of lanes:
 
 * 16 lanes modulo 2**64, each a full hash of the paragraph: 1,024 bits that differ for different
   multisets;
-* 128 lanes modulo 2**16, in which the paragraph's word triples count with signs: each triple adds 1
+* 128 lanes modulo 2**32, in which the paragraph's word triples count with signs: each triple adds 1
   or -1 in one lane.  The cosine of these lanes follows the share of common triples and is near zero for
   unrelated texts.
 
@@ -49,7 +49,7 @@ def _digest(paragraph: str) -> bytes:
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The (exact, sketch) lane sums of each text."""
     exact = np.zeros((len(texts), EXACT_LANES), U)
-    sketch = np.zeros((len(texts), SKETCH_LANES), np.uint16)
+    sketch = np.zeros((len(texts), SKETCH_LANES), np.uint32)
     salts = mix(np.arange(EXACT_LANES, dtype=U) + U(0x51ED2701))
     for low, high in slices(texts):
         # a paragraph is a text of its own here; ``owner`` tells whose it is
@@ -74,7 +74,7 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         sums = np.bincount(
             cell - base, np.concatenate(signs), (high - low) * SKETCH_LANES
         ).astype(np.int64)
-        sketch[low:high] = sums.reshape(-1, SKETCH_LANES).astype(np.uint16)
+        sketch[low:high] = sums.reshape(-1, SKETCH_LANES).astype(np.uint32)
     return exact, sketch
 
 
@@ -86,13 +86,13 @@ def combined(a, b, sign: int = 1):
 
 
 def to_string(exact: np.ndarray, sketch: np.ndarray) -> str:
-    return base64.b64encode(exact.astype("<u8").tobytes() + sketch.astype("<u2").tobytes()).decode()
+    return base64.b64encode(exact.astype("<u8").tobytes() + sketch.astype("<u4").tobytes()).decode()
 
 
 def likeness(a, b) -> np.ndarray:
     """Row by row from 0 to 1: 1 for equal fingerprints, else the cosine of the sketch lanes."""
     same = (a[0] == b[0]).all(1) & (a[1] == b[1]).all(1)
-    x, y = (v[1].astype(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[1].astype(np.int32).astype(np.float64) for v in (a, b))
     size = np.sqrt((x * x).sum(1) * (y * y).sum(1))
     cosine = (x * y).sum(1) / np.where(size > 0, size, 1)
     return np.where(same, 1.0, np.clip(cosine, 0.0, 1.0))

@@ -150,6 +150,11 @@ def test_fingerprints_are_homomorphic():
     assert not same(a, other) and not same(F.vectors(["x\nx"]), F.vectors(["x"]))
 
 
+def test_likeness_of_a_line_repeated_very_often():
+    a, b = (F.vectors(["\n".join(["one line of five words"] * n)]) for n in (50_000, 25_000))
+    assert F.likeness(a, b)[0] > 0.999
+
+
 def test_fingerprints_of_odd_rows(odd):
     got = F.fingerprints(odd).collect()
     assert len(got) == odd.count() and F.fingerprints(odd.limit(0)).count() == 0
