@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fieldmill.llm import bpe, trie
 from fieldmill.llm.chat import as_records, digests, format_records
 from fieldmill.llm.decontamination import contaminated
 from fieldmill.llm.fingerprints import fingerprints
@@ -14,9 +17,10 @@ from fieldmill.llm.licenses import scan
 from fieldmill.llm.mixing import mix
 from fieldmill.llm.near_duplicates import near_duplicates
 from fieldmill.llm.repeats import repeated_spans
-from fieldmill.llm.tables import shared_dir, table
+from fieldmill.llm.tables import cut, shared_dir, table
 from fieldmill.llm.toxicity import toxicity
 from fieldmill.llm.warc import through_archives
+from fieldmill.llm.whitening import whiten
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,27 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut(trie.numbered(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(*trie.with_shared_starts(turns, cut(trie.lengths(turns))))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 LLM_QUERIES = {
     "op1_warc": op1_warc,
     "op2_fingerprints": op2_fingerprints,
@@ -78,4 +103,7 @@ LLM_QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_html_text": op10_html_text,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_bpe": op12_bpe,
+    "op13_whitening": op13_whitening,
 }
