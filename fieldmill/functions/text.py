@@ -35,17 +35,6 @@ STRUCTURE_TYPES = (SIMPLE, KEY_WITH_SUB_VALUES, KEY_VALUE_PAIRS, KEY_VALUE_PAIRS
 # backtracks nor recurses.
 _BREAK_RUN = f"(?i)<br{_WS}*/?>(?:{_WS}|<br{_WS}*/?>)*+"
 
-# Elements that wrap key/value pairs; a value ends where the wrapper of its key closes.  The
-# pattern walks over text, other tags and complete wrapper elements up to a closing tag that has
-# no opening tag before it.
-_WRAPPER = "(?:p|div|li|td|span)"
-_PARENT_END = (
-    "(?is)^((?:[^<]++"
-    f"|<(?!/?{_WRAPPER}[{_SPACES}>])"
-    f"|<({_WRAPPER})(?:{_WS}[^>]*)?>[^<]*+</\\2{_WS}*>)*+)"
-    f"</{_WRAPPER}{_WS}*>.*$"
-)
-
 
 def _text(data: Column) -> Column:
     return F.coalesce(data, F.lit(""))
@@ -106,7 +95,10 @@ def strip_tags(html: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode the five XML entities and ``&nbsp;``; ``&amp;`` goes last so nothing decodes twice."""
+    """Decode the five XML entities and ``&nbsp;``; ``&amp;`` goes last so nothing decodes twice.
+
+    ``markup.decode_references`` knows all of HTML.
+    """
     # fixed values
     for entity, char in (
         ("&nbsp;", " "),
@@ -196,23 +188,11 @@ def note_content(segment: Column) -> Column:
     return _before(segment, STRONG_OPEN)
 
 
-def within_parent(html: Column) -> Column:
-    """Cut ``html`` where the element around its start closes; pass a named column."""
-    return F.when(F.contains(html, F.lit("</")), F.regexp_replace(html, _PARENT_END, "$1")).otherwise(
-        html
-    )
-
-
 def before_note(html: Column) -> Column:
     return _before(html, NOTE_TAG)
 
 
-def sub_value_key(data: Column) -> Column:
-    """Key of the first strong tag; may be empty."""
-    return strip_colons(strip_tags(key_html(_behind(_text(data), STRONG_OPEN))))
-
-
-def sub_value_html(data: Column) -> Column:
-    """What follows the first strong tag, within its parent."""
-    content = pair_content(_behind(_text(data), STRONG_OPEN))
-    return F.regexp_replace(content, _PARENT_END, "$1")
+def first_pair(data: Column) -> Column:
+    """Key HTML and content of the first strong tag of text without nested elements."""
+    behind = _behind(_text(data), STRONG_OPEN)
+    return F.struct(key_html(behind).alias("k"), pair_content(behind).alias("c"), F.lit(0).alias("i"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldmill.functions import markup as K
 from fieldmill.functions import text as X
 from fieldmill.functions.numbers import percentage
 from fieldmill.functions.years import extract_year_smart
@@ -34,43 +35,42 @@ def _simple_values(data: Column, years: bool) -> Column:
     return F.transform(X.split_values(data), lambda v, i: _value(v, i, years))
 
 
-def _single_key(data: Column, years: bool) -> Column:
+def _single_key(pair: Column, years: bool, decode: bool) -> Column:
+    """The one value of ``struct<k, c, i>``, the first strong tag."""
     nothing = F.lit(None).cast("string")
-    return F.array(
-        F.struct(
-            X.sub_value_key(data).alias("key"),
+
+    def value(p: Column) -> Column:
+        key, content = X.key_text(p["k"]), p["c"]
+        if decode:
+            key, content = K.decode_references(key), K.decode_value(content)
+        return F.struct(
+            key.alias("key"),
             nothing.alias("value"),
             nothing.alias("year"),
             F.lit(0).alias("order"),
             F.transform(
-                X.split_values(X.sub_value_html(data)),
+                X.split_values(content),
                 lambda v: F.struct(v.alias("value"), _year(v, years).alias("year")),
             ).alias("sub_values"),
         )
-    )
 
+    return F.transform(F.array(pair), value)
 
-def _keyed(contents: Column, years: bool, has_notes: bool = False) -> Column:
+
+def _keyed(contents: Column, years: bool, decode: bool) -> Column:
     """Values of ``struct<k, c, i>``: key HTML, content, order.
 
     Each step names what the next one uses more than once.  A pair with an empty key or value is
     skipped; the orders of the others stay.
     """
-    cut = F.transform(
-        contents,
-        lambda x: F.struct(
-            X.key_text(x["k"]).alias("k"), X.within_parent(x["c"]).alias("c"), x["i"].alias("i")
-        ),
-    )
-    read = F.transform(
-        cut,
-        lambda x: F.struct(
-            x["k"],
-            X.flat_text(X.before_note(x["c"]) if has_notes else x["c"]).alias("v"),
-            x["i"],
-        ),
-    )
-    kept = F.filter(read, lambda x: (x["k"] != "") & (x["v"] != ""))
+
+    def read(x: Column) -> Column:
+        key, value = X.key_text(x["k"]), X.flat_text(x["c"])
+        if decode:
+            key, value = K.decode_references(key), K.decode_value(value)
+        return F.struct(key.alias("k"), value.alias("v"), x["i"].alias("i"))
+
+    kept = F.filter(F.transform(contents, read), lambda x: (x["k"] != "") & (x["v"] != ""))
     return F.transform(kept, lambda x: _value(x["v"], x["i"], years, x["k"]))
 
 
@@ -78,34 +78,54 @@ def _pair_contents(data: Column) -> Column:
     return F.transform(
         X.strong_segments(data),
         lambda s, i: F.struct(
-            X.key_html(s).alias("k"), X.pair_content(s).alias("c"), i.alias("i")
+            X.key_html(s).alias("k"), X.pair_content(s).alias("c"), i.cast("int").alias("i")
         ),
     )
 
 
+def _flat_contents(data: Column) -> Column:
+    """Contents of text without nested elements, where all tags are beside each other."""
+    # a pair ends at a note; a note's own content holds no further one
+    before = F.transform(
+        _pair_contents(data),
+        lambda x: F.struct(x["k"].alias("k"), X.before_note(x["c"]).alias("c"), x["i"].alias("i")),
+    )
+    return F.concat(before, _note_contents(data))
+
+
 def _note_contents(data: Column) -> Column:
     n_pairs = F.size(X.strong_segments(data))
     return F.transform(
         X.note_segments(data),
         lambda s, i: F.struct(
-            F.lit("note").alias("k"), X.note_content(s).alias("c"), (i + n_pairs).alias("i")
+            F.lit("note").alias("k"), X.note_content(s).alias("c"), (i + n_pairs).cast("int").alias("i")
         ),
     )
 
 
-def structured_values(data: Column, kind: Column, years: bool = True) -> Column:
+def structured_values(
+    data: Column, kind: Column, years: bool = True, decode_entities: bool = False
+) -> Column:
     """``array<VALUE>`` for text of the given structure type; notes follow all pairs.
 
-    Without ``years`` they stay null, which saves their patterns where values are only counted.
+    Without ``years`` they stay null, which saves their patterns where values are only counted.  With
+    ``decode_entities`` character references of keyed text are decoded, once it is cut; simple text
+    keeps them.
     """
-    # a note's own content holds no further note tag, so ending at one only concerns pairs
-    contents = F.concat(_pair_contents(data), _note_contents(data))
-    noted = _keyed(contents, years, has_notes=True)
+    noted = kind == X.KEY_VALUE_PAIRS_WITH_NOTES
+    contents = F.when(
+        K.is_flat(data),
+        F.when(kind == X.KEY_WITH_SUB_VALUES, F.array(X.first_pair(data)))
+        .when(noted, _flat_contents(data))
+        .otherwise(_pair_contents(data)),
+    ).otherwise(K.nested_contents(data, noted))
     return (
         F.when(kind == X.SIMPLE, _simple_values(data, years))
-        .when(kind == X.KEY_WITH_SUB_VALUES, _single_key(data, years))
-        .when(kind == X.KEY_VALUE_PAIRS, _keyed(_pair_contents(data), years))
-        .otherwise(noted)
+        .when(
+            kind == X.KEY_WITH_SUB_VALUES,
+            _single_key(F.get(contents, F.lit(0)), years, decode_entities),
+        )
+        .otherwise(_keyed(contents, years, decode_entities))
     )
 
 
@@ -118,17 +138,6 @@ def with_structure_type(fields: DataFrame) -> DataFrame:
     )
 
 
-def _prepare(fields: DataFrame, decode_entities: bool) -> DataFrame:
-    fields = with_structure_type(fields)
-    if decode_entities:
-        # only keyed text is decoded, and only after its type is known
-        decoded = F.when(F.col("structure_type") == X.SIMPLE, F.col("data")).otherwise(
-            X.decode_entities(F.col("data"))
-        )
-        fields = fields.withColumn("data", decoded)
-    return fields
-
-
 def refine_fields(
     fields: DataFrame,
     notes_multi_valued: bool = False,
@@ -141,8 +150,8 @@ def refine_fields(
     """
     kind = F.col("structure_type")
     return (
-        _prepare(fields, decode_entities)
-        .withColumn("values", structured_values(F.col("data"), kind, years))
+        with_structure_type(fields)
+        .withColumn("values", structured_values(F.col("data"), kind, years, decode_entities))
         .withColumn(
             "is_multi_valued",
             X.is_multi_valued(kind, F.size("values"), notes_multi_valued),

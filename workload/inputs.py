@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 _YEAR = "CAST(year(l_shipdate) AS STRING)"
-_QUANTITY = (
+QUANTITY = (
     "CAST(CAST(l_quantity AS BIGINT) AS STRING) || ' units (' || " + _YEAR + " || "
     "CASE WHEN l_returnflag = 'A' THEN ' est.)' ELSE ')' END"
 )
-_PRICE = "'price  ' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) || ' USD'"
+PRICE = "'price  ' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) || ' USD'"
 _DISCOUNT = (
     "CAST(CAST(round(l_discount * 100) AS BIGINT) AS STRING) || '% off (' || " + _YEAR + " || "
     "') and (' || CAST(year(l_shipdate) + 1 AS STRING) || ' est.)'"
@@ -22,29 +22,29 @@ _DISCOUNT = (
 _LONG = "repeat('x', 113 + l_linenumber % 2) || ' (2024)'"
 
 _SIMPLE = (
-    f"'  ' || {_QUANTITY}"
-    f" || CASE WHEN l_linenumber > 1 THEN '<br>' || {_PRICE} ELSE '' END"
+    f"'  ' || {QUANTITY}"
+    f" || CASE WHEN l_linenumber > 1 THEN '<br>' || {PRICE} ELSE '' END"
     f" || CASE WHEN l_linenumber > 3 THEN '<br /><BR/> ' || {_DISCOUNT} || '<Br >' ELSE '' END"
     f" || CASE WHEN l_linenumber > 4 THEN '<br/>' || {_LONG} ELSE '' END"
 )
 _PAIRS = (
-    f"'lost<br><strong>quantity:</strong> ' || {_QUANTITY}"
-    f" || '<br><br><strong>price::</strong> ' || {_PRICE} || '<br>net'"
+    f"'lost<br><strong>quantity:</strong> ' || {QUANTITY}"
+    f" || '<br><br><strong>price::</strong> ' || {PRICE} || '<br>net'"
     " || CASE WHEN l_linenumber % 3 = 0 THEN '<strong>empty:</strong><br>' ELSE '' END"
     f" || '<br><STRONG>Discount</STRONG>  ' || {_DISCOUNT} || ' <em>max</em>'"
 )
 _WRAPPED = (
-    f"'<p><strong>quantity:</strong> ' || {_QUANTITY} || '</p><p><strong>price:</strong> '"
-    f" || {_PRICE} || '</p><p>tail</p>'"
+    f"'<p><strong>quantity:</strong> ' || {QUANTITY} || '</p><p><strong>price:</strong> '"
+    f" || {PRICE} || '</p><p>tail</p>'"
 )
 _NOTES = (
-    f"'<strong>quantity:</strong> ' || {_QUANTITY} || '<br><b>note:</b> rush  order<br>'"
-    f" || '<strong>price:</strong> ' || {_PRICE} || '<br><strong>none:</strong> '"
+    f"'<strong>quantity:</strong> ' || {QUANTITY} || '<br><b>note:</b> rush  order<br>'"
+    f" || '<strong>price:</strong> ' || {PRICE} || '<br><strong>none:</strong> '"
     f" || CASE WHEN l_linenumber > 3 THEN '<br><b>Note: </b>last<br/>' || {_YEAR} ELSE '' END"
 )
 _SUB = (
     "'<strong>Line ' || CAST(l_linenumber AS STRING) || ':</strong><br>' || "
-    f"{_QUANTITY} || '<br/> <br>' || {_PRICE}"
+    f"{QUANTITY} || '<br/> <br>' || {PRICE}"
     f" || CASE WHEN l_linenumber > 3 THEN '<br />' || {_DISCOUNT} ELSE '' END"
 )
 
@@ -66,6 +66,59 @@ FIELDS = {
     ),
 }
 
+# keyed text in wrappers of all kinds: two pairs each, told apart by the part number
+NESTED_PAIRS = (
+    f"'<p><strong>quantity:</strong> ' || {QUANTITY} || ' <span>a <em>b</em></span></p><p>tail</p>'"
+    f" || '<p><strong>price:</strong> ' || {PRICE} || '</p>'",
+    f"'<h3><strong>quantity:</strong> ' || {QUANTITY} || '</h3>tail<h3><strong>price:</strong> '"
+    f" || {PRICE} || '</h3>'",
+    f"'<b><strong>quantity:</strong></b> ' || {QUANTITY} || '<b><strong>price:</strong> ' || {PRICE} || '</b>'",
+    f"'<section><strong>quantity:</strong> ' || {QUANTITY} || '<strong>price:</strong> ' || {PRICE}"
+    " || '</section>after'",
+    f"'<strong>quantity:</strong> ' || {QUANTITY} || ' <div><strong>price:</strong> ' || {PRICE} || '</div> end'",
+    f"'<div><strong>quantity:</strong> ' || {QUANTITY} || ' <i>x</div><strong>price:</strong> ' || {PRICE}"
+    " || '</em> y'",
+    f"'<table><tr><td><strong>quantity:</strong></td><td>' || {QUANTITY} || '</td></tr><tr><td>'"
+    f" || '<strong>price:</strong> ' || {PRICE} || '</td></tr></table>'",
+)
+NESTED_NOTES = (
+    f"'<div><strong>quantity:</strong> ' || {QUANTITY} || '<br><b>note:</b> rush  order<hr>'"
+    f" || '<strong>price:</strong> ' || {PRICE} || '</div> z'",
+    f"'<p><strong>quantity:</strong> ' || {QUANTITY} || '</p><p><b>note:</b> low <i>stock</i></p>'"
+    f" || '<p><strong>price:</strong> ' || {PRICE} || '</p>'",
+    f"'<strong>quantity:</strong> ' || {QUANTITY} || ' <ul><li><b>note:</b> in list</li></ul><br>'"
+    f" || '<strong>price:</strong> ' || {PRICE}",
+    f"'<p><strong>quantity:</strong> ' || {QUANTITY} || ' <b>big</b> box<b>Note: </b>last</p>'"
+    f" || '<p><b>note:</b> </p><p><strong>price:</strong> ' || {PRICE} || '</p>'",
+)
+NESTED_SUB = (
+    f"'<section><strong>Line <u>' || CAST(l_linenumber AS STRING) || '</u>:</strong> ' || {QUANTITY}"
+    f" || '<br/>' || {PRICE} || ' <i>x<br>y</i></section>after'",
+    f"'<ul><li><strong>Line ' || CAST(l_linenumber AS STRING) || '</strong>' || {QUANTITY}"
+    f" || '</p></li><li>' || {PRICE} || '</li></ul>'",
+)
+
+
+def _nested(texts: tuple[str, ...]) -> dict[str, str]:
+    cases = "".join(f" WHEN {k} THEN {text}" for k, text in enumerate(texts))
+    return {
+        "entity": "CAST(l_orderkey AS STRING)",
+        "pos": "l_partkey * 10 + l_linenumber",
+        "data": f"CASE l_partkey % {len(texts)}{cases} END",
+        "media": "CAST(NULL AS STRING)",
+    }
+
+
+#: texts with character references: every letter beyond ASCII by name or number, and references of references
+ENCODED_TEXTS = {
+    "doc_id": "doc_id",
+    "encoded": (
+        "replace(replace(replace(replace(replace(replace(replace(replace(replace(text, '&', '&amp;'),"
+        " '<', '&lt;'), 'é', '&eacute;'), 'ü', '&#252;'), 'ß', '&#xDF;'), 'ä', '&#x000e4;'), 'ç', '&ccedil;'),"
+        " ' the ', ' &#8212;the&#X1F600; '), ', ', '&nbsp;&amp;lt;&#128;&bogus; ')"
+    ),
+}
+
 #: fields of users: an event type with a bucket of its property; coverage differs by bucket
 USER_FIELDS = {
     "entity": "CAST(user_id AS STRING)",
@@ -223,6 +276,10 @@ ORDER_SNAPSHOTS = {
 
 _TABLE_OF = {
     "fields": ("lineitem", FIELDS, None),
+    "nested_pairs": ("lineitem", _nested(NESTED_PAIRS), None),
+    "nested_notes": ("lineitem", _nested(NESTED_NOTES), None),
+    "nested_sub": ("lineitem", _nested(NESTED_SUB), None),
+    "encoded_texts": ("documents", ENCODED_TEXTS, None),
     "user_fields": ("events", USER_FIELDS, None),
     "mapping": ("part", PAIRS_MAPPING, MAPPING_FILTER),
     "mapping_all": ("part", PAIRS_MAPPING, None),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from workload import inputs
 from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived_sql
 
 ORACLE: dict[str, str] = {}
@@ -150,6 +151,63 @@ for _name, _kind, _cols in (
         _leaf_sql()
         + f'SELECT entity, pos, {_cols}value, "order", year FROM leaves WHERE structure_type = \'{_kind}\''
     )
+
+
+def _nested_sql(name: str, n_cases: int, rows: list[tuple[int, str, str, int]]) -> str:
+    """The pairs that each kind of text was made of, without looking at the text."""
+    source = f"SELECT * FROM lineitem WHERE l_partkey % {n_cases}"
+    pairs = " UNION ALL ".join(
+        f"SELECT l_orderkey, l_partkey, l_linenumber, {key} AS key, {value} AS value, {order} AS ord"
+        f" FROM ({source} = {case})"
+        for case, key, value, order in rows
+    )
+    return (
+        f"SELECT CAST(l_orderkey AS VARCHAR) AS entity, l_partkey * 10 + l_linenumber AS pos, key, value,"
+        f' ord AS "order", {_year("value")} AS year FROM ({pairs})'
+    )
+
+
+_Q, _P = inputs.QUANTITY, f"replace({inputs.PRICE}, '  ', ' ')"
+_KQ, _KP, _KN = "'quantity'", "'price'", "'note'"
+ORACLE["kv_nested"] = _nested_sql(
+    "nested_pairs",
+    7,
+    [
+        (0, _KQ, f"{_Q} || ' <span>a <em>b</em></span>'", 0),
+        (1, _KQ, _Q, 0),
+        (3, _KQ, _Q, 0),
+        (4, _KQ, f"{_Q} || ' <div><strong>price:</strong> ' || {_P} || '</div> end'", 0),
+        (5, _KQ, f"{_Q} || ' <i>x</i>'", 0),
+        *((case, _KP, _P, 1) for case in (0, 1, 2, 3, 4, 6)),
+        (5, _KP, f"{_P} || ' y'", 1),
+    ],
+)
+ORACLE["kv_notes_nested"] = _nested_sql(
+    "nested_notes",
+    4,
+    [
+        (0, _KQ, _Q, 0),
+        (1, _KQ, _Q, 0),
+        (2, _KQ, f"{_Q} || ' <ul><li><b>note:</b> in list</li></ul>'", 0),
+        (3, _KQ, f"{_Q} || ' <b>big</b> box'", 0),
+        *((case, _KP, _P, 1) for case in range(4)),
+        (0, _KN, "'rush order<hr>'", 2),
+        (1, _KN, "'low <i>stock</i>'", 2),
+        (2, _KN, "'in list'", 2),
+        (3, _KN, "'last'", 2),
+    ],
+)
+_LINE = "'Line ' || CAST(l_linenumber AS VARCHAR)"
+ORACLE["sub_nested"] = _nested_sql(
+    "nested_sub",
+    2,
+    [
+        (0, _LINE, _Q, 0),
+        (0, _LINE, f"{inputs.PRICE} || ' <i>x'", 1),
+        (0, _LINE, "'y</i>'", 2),
+        (1, _LINE, _Q, 0),
+    ],
+)
 ORACLE["text_cleanup"] = r"""
 SELECT conv_id, turn, s AS stripped,
   regexp_replace(rtrim(s, ':'), '\s+$', '') AS no_colons,
@@ -160,6 +218,10 @@ ORACLE["entity_decoding"] = """
 SELECT page_id, replace(replace(replace(replace(replace(replace(html, '&nbsp;', ' '), '&lt;', '<'),
   '&gt;', '>'), '&quot;', '"'), '&apos;', chr(39)), '&amp;', '&') AS html FROM pages"""
 
+# the letters are back, and what was a reference to a reference is one
+ORACLE["entity_decoding_full"] = """
+SELECT doc_id, replace(replace(text, ' the ', ' ' || chr(8212) || 'the' || chr(128512) || ' '), ', ',
+  chr(160) || '&lt;' || chr(8364) || '&bogus; ') AS text FROM documents"""
 ORACLE["year_extract"] = rf"""
 SELECT entity, pos, first_year, coalesce(data <> '' AND NOT (n > 1 OR (n = 1 AND len > 120)), false)
     AS is_data_point,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.functions import dates as D
+from fieldmill.functions import markup as K
 from fieldmill.functions import text as X
 from fieldmill.functions import urls as U
 from fieldmill.functions import years as Y
@@ -130,6 +131,26 @@ def sub_values(spark, sf_dir):
     return _leaves_of(spark, sf_dir, X.KEY_WITH_SUB_VALUES)
 
 
+def _nested(spark, sf_dir, name):
+    rows = R.value_rows(derived(spark, sf_dir, name))
+    return rows.select("entity", "pos", "key", "value", "order", "year")
+
+
+@query
+def kv_nested(spark, sf_dir):
+    return _nested(spark, sf_dir, "nested_pairs")
+
+
+@query
+def kv_notes_nested(spark, sf_dir):
+    return _nested(spark, sf_dir, "nested_notes")
+
+
+@query
+def sub_nested(spark, sf_dir):
+    return _nested(spark, sf_dir, "nested_sub")
+
+
 @query
 def text_cleanup(spark, sf_dir):
     text = F.concat(F.lit("  "), F.replace("text", F.lit(" "), F.lit(" \t ")), F.lit(":: \n"))
@@ -149,6 +170,13 @@ def entity_decoding(spark, sf_dir):
     )
 
 
+@query
+def entity_decoding_full(spark, sf_dir):
+    return derived(spark, sf_dir, "encoded_texts").select(
+        "doc_id", K.decode_references(F.col("encoded")).alias("text")
+    )
+
+
 # ---- years and dates -----------------------------------------------------------------------------
 
 
