@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -27,6 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +36,10 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 16  # characters given to the transducer at once
 LONG = 512  # characters of a word from which its bytes are merged as they come
 BLOCK = 4096  # bytes of a long word merged at once, beyond the lookahead
-TABLE = 200_000  # short words remembered
-TOKENS_A_BATCH = 1 << 20  # ids in an output batch, beyond those of its last text
+TABLE = 250_000  # short words remembered, beyond those of one part of the texts
+LEARNED = 32  # bytes of the words that are worked out together
+ROWS = 1 << 14  # words worked out together
+PART = 4 << 20  # bytes of text whose words are worked out together
 
 # fixed values: the words of this kind of tokenizer
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?{O}+|\s+(?!\S)|\s+"
@@ -147,18 +151,69 @@ class Words(dict):
         self.length_of = {i: len(b) for i, b in vocabulary.bytes_of.items()}
         self.block = vocabulary.lookahead + BLOCK
         self.rest = b""
+        pairs = np.array([*vocabulary.pairs, -1])
+        self.pair_ranks = np.argsort(pairs)
+        self.pairs = pairs[self.pair_ranks]
+        self.made_numbers = np.array([*vocabulary.made, -1])
+        self.numbers = np.array(vocabulary.single)
 
-    def __missing__(self, word: str) -> list[int]:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         data = word.encode()
         if len(data) > BLOCK:
-            return [*self.stable(data), *self.merge(self.rest)]
-        ids = self.merge(data)
+            return (*self.stable(data), *self.merge(self.rest))
+        ids = tuple(self.merge(data))
         if len(data) <= LONG:
             if len(self) >= TABLE:
                 self.clear()
             self[word] = ids
         return ids
 
+    def learn(self, words: set[str]) -> None:
+        """Put unknown short words into the table; those of one length are merged together, as rows."""
+        unknown = words.difference(self)
+        if len(self) + len(unknown) > TABLE:
+            self.clear()
+            unknown = words
+        by_size: dict[int, list[str]] = defaultdict(list)
+        for word in unknown:
+            by_size[len(word.encode())].append(word)
+        for size, listed in by_size.items():
+            if size > LEARNED:
+                continue
+            for at in range(0, len(listed), ROWS):
+                self._learn(listed[at : at + ROWS], size)
+
+    def _learn(self, words: list[str], size: int) -> None:
+        names = np.array(words, object)
+        ids = self.numbers[np.frombuffer("".join(words).encode(), np.uint8)].reshape(-1, size)
+        ranks = self.ranks_of(ids[:, :-1], ids[:, 1:])
+        while ids.shape[1] > 1:
+            # every row that goes on has one merge less to do, so all of them stay equally long
+            at = ranks.argmin(1)
+            least = ranks[np.arange(len(at)), at]
+            goes_on = least < len(self.made)
+            self._put(names[~goes_on], ids[~goes_on])
+            names, ids, ranks, at, least = (x[goes_on] for x in (names, ids, ranks, at, least))
+            row, column = np.arange(len(at)), np.arange(ids.shape[1] - 1)
+            ids[row, at] = self.made_numbers[least]
+            ids = np.take_along_axis(ids, column + (column > at[:, None]), 1)
+            column = column[:-1]
+            ranks = np.take_along_axis(ranks, column + (column >= at[:, None]), 1)
+            for beside in (at - 1, at):
+                has = np.flatnonzero((beside >= 0) & (beside < ranks.shape[1]))
+                place = beside[has]
+                ranks[has, place] = self.ranks_of(ids[has, place], ids[has, place + 1])
+        self._put(names, ids)
+
+    def _put(self, names: np.ndarray, ids: np.ndarray) -> None:
+        self.update(zip(names.tolist(), map(tuple, ids.tolist()), strict=True))
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, beyond all ranks where there is no rule."""
+        pairs = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], len(self.made))
+
     def merge(self, data: bytes) -> list[int]:
         """The ids of bytes that belong together: the least rank first, from the left."""
         ids = [self.single[b] for b in data]
@@ -227,6 +282,7 @@ class Encoder:
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.control = re.compile("|".join(names)) if names else None
         self.plain = _patterns(r"\p{L}", r"\p{N}")
+        self.narrow = _narrow_patterns()
         self.newer = re.compile(f"[{vocabulary.unlike}]") if vocabulary.unlike else None
         if self.newer:
             but = f"--[{vocabulary.unlike}]]"
@@ -247,6 +303,15 @@ class Encoder:
         self._reset()
         return ids
 
+    def learn(self, texts: list[str]) -> None:
+        """Work out the words of these texts together, before they are encoded one by one."""
+        words: set[str] = set()
+        for text in texts:
+            for at in range(0, len(text), CHUNK):
+                part = text[at : at + CHUNK]
+                words.update(self._patterns_for(part)[0].findall(part))
+        self.words.learn(words)
+
     def encode(self, text: str) -> list[int]:
         """All ids of a text at once."""
         ids: list[int] = []
@@ -273,7 +338,7 @@ class Encoder:
         """Ids of the words that are complete; a word is when the character behind it and one more are
         known, as an apostrophe and a run of white space look that far."""
         text = self.open + text
-        words, runs = self.exact if self.newer and self.newer.search(text) else self.plain
+        words, runs = self._patterns_for(text)
         ids: list[int] = []
         at = 0
         if self.run:
@@ -303,6 +368,11 @@ class Encoder:
             ids += self._stable()
         return ids
 
+    def _patterns_for(self, text: str):
+        if text.isascii() or _is_narrow(text):
+            return self.narrow
+        return self.exact if self.newer and self.newer.search(text) else self.plain
+
     def _stable(self) -> list[int]:
         ids = list(self.words.stable(self.bytes))
         self.bytes = self.words.rest
@@ -318,6 +388,29 @@ def _patterns(letter: str, digit: str):
     return regex.compile(words, flags), {k: regex.compile(v, flags) for k, v in runs.items()}
 
 
+def _is_narrow(text: str) -> bool:
+    """True if all code points are below 256."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+@cache
+def _narrow_patterns():
+    """The same words for text with code points below 256 only, in the plain pattern module: twice as fast."""
+    few = "".join(map(chr, range(256)))
+    letter, digit, space = (
+        "".join(map(re.escape, regex.findall(kind, few))) for kind in (r"\p{L}", r"\p{N}", r"\s")
+    )
+    words = rf" ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+|[{space}]+(?![^{space}])|[{space}]+"
+    runs = {"letter": f"[{letter}]*", "digit": f"[{digit}]*", "space": f"[{space}]*"}
+    runs["other"] = f"[^{space}{letter}{digit}]*"
+    short = _WORDS[: _WORDS.index(" ")]
+    return re.compile(short + words), {k: re.compile(v) for k, v in runs.items()}
+
+
 class Decoder:
     """Ids in, text out; what is no UTF-8 becomes U+FFFD.  At most three bytes are held back."""
 
@@ -362,14 +455,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     def run(batches):
         encoder = Encoder(vocabulary.value)
         for batch in batches:
-            rows, sizes, ids = 0, [0], []
-            for value in batch.column(1):
-                ids += encoder.encode(value.as_py() or "")
-                sizes.append(len(ids))
-                if len(ids) > TOKENS_A_BATCH:
-                    yield _ids_batch(batch.column(0).slice(rows, len(sizes) - 1), sizes, ids)
-                    rows, sizes, ids = rows + len(sizes) - 1, [0], []
-            yield _ids_batch(batch.column(0).slice(rows), sizes, ids)
+            for part in _parts(batch):
+                texts = [text or "" for text in part.column(1).to_pylist()]
+                encoder.learn(texts)
+                sizes, ids = [0], []
+                for text in texts:
+                    ids += encoder.encode(text)
+                    sizes.append(len(ids))
+                yield _ids_batch(part.column(0), sizes, ids)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(
@@ -377,6 +470,18 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     ).withColumnRenamed("key", key)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``PART`` bytes of text, beyond those of the last one."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // PART
+    ends = np.append(np.flatnonzero(np.diff(part)) + 1, len(part))
+    start = 0
+    for end in ends.tolist():
+        if end > start:
+            yield batch.slice(start, end - start)
+        start = end
+
+
 def _ids_batch(keys: pa.Array, sizes: list[int], ids: list[int]) -> pa.RecordBatch:
     listed = pa.ListArray.from_arrays(
         pa.array(np.array(sizes, np.int32)), pa.array(np.array(ids, np.int32))
