@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,33 @@ def _with_minimum(sides: DataFrame) -> DataFrame:
     return sides.join(least, "u")
 
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """Of the edges (u, v) of each partition as many as it takes to reach the same nodes: every node with
+    the least one it is tied to there.  A partition holds about ``LINKS_PER_TASK`` edges."""
+
+    def run(batches):
+        least: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := least.setdefault(x, x)) != x:
+                least[x] = least[up]
+                x = up
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(u), root(v)
+                if a != b:
+                    least[max(a, b)] = min(a, b)
+        tied = [(x, r) for x in list(least) if (r := root(x)) != x]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in tied], pa.int64()), pa.array([r for _, r in tied], pa.int64())],
+            names=["u", "v"],
+        )
+
+    return edges.mapInArrow(run, "u long, v long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) of nodes to (node, component_id), the least node that can be reached.
 
@@ -34,7 +62,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     # links are narrow: few tasks for few of them, as each task of a shuffle leaves files behind
     parts = max(MIN_TASKS, edges.count() // LINKS_PER_TASK)
-    edges = edges.coalesce(parts)
+    # what a task holds is joined there first, so that fewer rows take fewer rounds
+    edges = _forest(edges.coalesce(parts))
     before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

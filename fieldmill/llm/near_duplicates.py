@@ -376,11 +376,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tied = _clusters(open_.select("rep", "comp", *bucket), held)
     members = cut(placed.select("rep", "n", "comp").distinct().join(tied, "rep"))
     more = _links_in_clusters(sets, members)
-    joined = components(links.union(more)).withColumnRenamed("node", "rep")
-
+    # the new links tie components that are known already
+    known = members.select("rep", "comp").distinct()
+    between = more.join(known.toDF("a", "ca"), "a").join(known.toDF("b", "cb"), "b")
+    merged = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    own = F.coalesce("component_id", "rep")
     named = (
         classes.join(joined, "rep", "left")
-        .select(*keys, F.coalesce("component_id", "rep").alias("component_id"), "n_copies")
+        .withColumn("node", own)
+        .drop("component_id")
+        .join(merged, "node", "left")
+        .select(*keys, F.coalesce("component_id", "node").alias("component_id"), "n_copies")
     )
     placed = sketch.join(named, keys, "left")
     ids = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
