@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,6 +84,71 @@ def _outcome(old_value: Column, new_value: Column, status: Column, copies: Colum
     )
 
 
+#: what a field is known by in a snapshot
+UNIT = ("entity", "name")
+
+
+def changed_fields(
+    old: DataFrame, new: DataFrame, content: Sequence[str], unit: Sequence[str] = UNIT
+) -> DataFrame:
+    """``_unit``: hashes of the fields that a comparison of their contents has to look at.
+
+    Only hashes are shuffled: of the unit, and of ``content``, which can be nested.  A field is left out if
+    it occurs once in each snapshot with the same content hash, so a change is overlooked with a chance of
+    2**-64.  Units whose hashes are the same, and repeated ones, are always looked at.
+    """
+
+    def side(df: DataFrame, is_new: int) -> DataFrame:
+        digest = F.xxhash64(*content)
+        return df.select(
+            F.xxhash64(*unit).alias("_unit"),
+            F.when(F.lit(is_new == 0), digest).alias("_o"),
+            F.when(F.lit(is_new == 1), digest).alias("_n"),
+        )
+
+    found = side(old, 0).unionByName(side(new, 1)).groupBy("_unit").agg(
+        F.count("_o").alias("_olds"),
+        F.count("_n").alias("_news"),
+        F.max("_o").alias("_old"),
+        F.max("_n").alias("_new"),
+    )
+    same = (F.col("_olds") == 1) & (F.col("_news") == 1) & (F.col("_old") == F.col("_new"))
+    return found.filter(~F.coalesce(same, F.lit(False))).select("_unit")
+
+
+def field_diff(
+    old: DataFrame,
+    new: DataFrame,
+    rows: Callable[[DataFrame], DataFrame],
+    content: Sequence[str],
+    unit: Sequence[str] = UNIT,
+    keys: Sequence[str] = SLOT,
+    value: str = "value",
+) -> DataFrame:
+    """``snapshot_diff`` of ``rows(old)`` and ``rows(new)``, where both have one row per field.
+
+    Contents are compared by their hashes first.  Only fields that changed are turned into value rows on
+    both sides and compared; the others give their rows from the new side, in place.  ``rows`` must depend
+    on ``unit`` and ``content`` only, and give no slot twice for one field.
+    """
+    changed = changed_fields(old, new, content, unit)
+    unit_hash = F.xxhash64(*unit)
+
+    def chosen(df: DataFrame, how: str) -> DataFrame:
+        # AQE broadcasts the hashes if they are few by their measured size
+        return rows(df.withColumn("_unit", unit_hash).join(changed, "_unit", how).drop("_unit"))
+
+    same = chosen(new, "left_anti").select(
+        *keys,
+        F.col(value).alias("old_value"),
+        F.col(value).alias("new_value"),
+        F.lit("unchanged").alias("status"),
+        F.lit(1).cast("bigint").alias("copies"),
+    )
+    compared = snapshot_diff(chosen(old, "left_semi"), chosen(new, "left_semi"), keys, value)
+    return same.unionByName(compared)
+
+
 def diff_summary(diff: DataFrame) -> DataFrame:
     """Values per status."""
     return diff.groupBy("status").agg(F.sum("copies").alias("n_values"))

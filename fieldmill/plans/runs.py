@@ -15,7 +15,7 @@ from fieldmill.operators import pages as P
 from fieldmill.operators import profile as M
 from fieldmill.operators import refine as R
 from fieldmill.operators import runs as L
-from fieldmill.operators.diff import snapshot_diff
+from fieldmill.operators.diff import field_diff
 from fieldmill.operators.url_index import entity_urls
 from fieldmill.sinks import tables as S
 from fieldmill.sources.mapping import extract_mapping, preferred_pages
@@ -110,15 +110,12 @@ def run_log(
     return log
 
 
-def _with_others(
-    spark: SparkSession, rows: DataFrame, table: str, date: str, entities: Sequence[str] | None
-) -> DataFrame:
-    """``rows`` of the chosen entities together with what the snapshot holds of the others."""
-    before = find_snapshot(spark, table, date) if entities else None
-    if before is None:
-        return rows
-    others = before.drop("snapshot_date").filter(~F.col("entity").isin(list(entities)))
-    return rows.unionByName(others)
+def _store(rows: DataFrame, table: str, date: str, entities: Sequence[str] | None) -> None:
+    """``rows`` as the snapshot, or in place of the chosen entities' rows if there is one already."""
+    if entities and find_snapshot(rows.sparkSession, table, date) is not None:
+        S.replace_entities(rows, table, date, entities)
+    else:
+        S.write_entities(rows, table, date)
 
 
 def refine_snapshot(
@@ -137,19 +134,15 @@ def refine_snapshot(
     date = resolve_snapshot(spark, f"{root}/raw", snapshot)
     reports = f"{root}/reports/{date}"
     if "categories" in steps:
-        raw = X.filter_fields(
-            R.explode_fields(read_snapshot(spark, f"{root}/raw", date)), entities
-        )
+        raw = R.explode_fields(read_snapshot(spark, f"{root}/raw", date, entities))
         enriched = E.enrich_fields(raw, E.require_mapping(mapping))
-        table = f"{root}/enriched"
-        S.write_snapshot(_with_others(spark, enriched, table, date, entities), table, date)
+        _store(enriched, f"{root}/enriched", date, entities)
         stats = E.enrichment_stats(read_snapshot(spark, f"{root}/enriched", date))
         S.write_report(E.enrichment_summary(stats), f"{reports}/category_report")
     if "multi-value" in steps:
-        enriched = read_snapshot(spark, f"{root}/enriched", date).drop("snapshot_date")
-        table = f"{root}/refined"
-        chosen = R.refine_fields(X.filter_fields(enriched, entities))
-        S.write_snapshot(_with_others(spark, chosen, table, date, entities), table, date)
+        enriched = read_snapshot(spark, f"{root}/enriched", date)
+        chosen = read_snapshot(spark, f"{root}/enriched", date, entities).drop("snapshot_date")
+        _store(R.refine_fields(chosen), f"{root}/refined", date, entities)
         refined = read_snapshot(spark, f"{root}/refined", date)
         profile = M.multi_value_profile(refined)
         S.write_report(profile, f"{reports}/multi_value_by_field")
@@ -201,6 +194,6 @@ def export_snapshot(
 
 
 def compare_snapshots(spark: SparkSession, root: str, old: str, new: str) -> DataFrame:
-    """Changes of the values of two refined snapshots."""
-    sides = [R.leaf_rows(read_snapshot(spark, f"{root}/refined", d)) for d in (old, new)]
-    return snapshot_diff(*sides)
+    """Changes of the values of two refined snapshots; only fields that changed are shuffled."""
+    sides = [read_snapshot(spark, f"{root}/refined", d) for d in (old, new)]
+    return field_diff(*sides, R.leaf_rows, ("structure_type", "values"))

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.operators.url_index import other_urls, url_index, url_type_counts
-from fieldmill.sources.snapshots import PARTITION, parse_snapshot_date
+from fieldmill.sources.export import CATEGORY_PART
+from fieldmill.sources.snapshots import (
+    BUCKET,
+    ENTITY_BUCKETS,
+    PARTITION,
+    buckets_of,
+    entity_bucket,
+    parse_snapshot_date,
+)
 
-_PART = "category_part"
 
 
 def run_date(snapshot: str | None = None) -> str:
@@ -24,9 +32,26 @@ def with_snapshot_date(df: DataFrame, snapshot: str | None = None) -> DataFrame:
     return df.withColumn(PARTITION, F.lit(parse_snapshot_date(run_date(snapshot))))
 
 
-def _clear_snapshot(spark: SparkSession, table: str, date: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/{PARTITION}={date}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def _folder(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    files, path = _folder(spark, folder)
+    files.delete(path, True)
+
+
+def _names(spark: SparkSession, folder: str) -> set[str]:
+    """What lies in a folder, hidden files and marks apart; nothing if there is none."""
+    files, path = _folder(spark, folder)
+    names = {s.getPath().getName() for s in files.listStatus(path)} if files.exists(path) else set()
+    return {name for name in names if name[0] not in "._"}
+
+
+def _delete_if_empty(spark: SparkSession, folder: str) -> None:
+    if not _names(spark, folder):
+        _delete(spark, folder)
 
 
 def write_snapshot(df: DataFrame, table: str, snapshot: str | None = None) -> None:
@@ -44,7 +69,54 @@ def write_snapshot(df: DataFrame, table: str, snapshot: str | None = None) -> No
         .parquet(table)
     )
     if not written.get["n"]:  # an overwrite by partition leaves one alone that gets no rows
-        _clear_snapshot(df.sparkSession, table, date)
+        _delete(df.sparkSession, f"{table}/{PARTITION}={date}")
+
+
+def with_bucket(df: DataFrame, buckets: int = ENTITY_BUCKETS) -> DataFrame:
+    """Add the second partition column, a bucket of the entity."""
+    return df.withColumn(BUCKET, entity_bucket(F.col("entity"), buckets))
+
+
+def write_entities(df: DataFrame, table: str, snapshot: str | None = None) -> None:
+    """Replace one snapshot of a table of entities, stored in buckets of entities.
+
+    Rows are rebalanced by bucket: no task writes into many buckets, and a bucket with most rows is split.
+    """
+    path = f"{table}/{PARTITION}={run_date(snapshot)}"
+    bucketed = with_bucket(df).hint("rebalance", BUCKET)
+    bucketed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    _delete_if_empty(df.sparkSession, path)
+
+
+def replace_entities(
+    df: DataFrame, table: str, snapshot: str, entities: Sequence[str]
+) -> None:
+    """Put ``df``, rows of some ``entities``, in the place of what a snapshot holds of them.
+
+    Only the buckets of these entities are read and written again; all other files stay as they are.  An
+    entity without rows in ``df`` goes.
+    """
+    spark, path = df.sparkSession, f"{table}/{PARTITION}={snapshot}"
+    touched = buckets_of(spark, entities)
+    before = (
+        spark.read.option("basePath", path).parquet(path)
+        .filter(F.col(BUCKET).isin(touched) & ~F.col("entity").isin(list(entities)))
+    )
+    chosen = with_bucket(df.filter(F.col("entity").isin(list(entities))))
+    folders = [f"{path}/{BUCKET}={bucket}" for bucket in touched]
+    files = [_names(spark, folder) for folder in folders]
+    (
+        before.unionByName(chosen.select(*before.columns))
+        .hint("rebalance", BUCKET)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET)
+        .parquet(path)
+    )
+    for folder, names in zip(folders, files, strict=True):
+        if names & _names(spark, folder):
+            _delete(spark, folder)  # an overwrite by partition leaves one alone that gets no rows
+    _delete_if_empty(spark, path)
 
 
 def write_documents(df: DataFrame, path: str, compress: bool = True) -> None:
@@ -72,6 +144,11 @@ def write_url_index(pages: DataFrame, path: str, sitemap_url: str | None = None)
     ).write.mode("overwrite").json(f"{path}/metadata")
 
 
+def write_in_order(df: DataFrame, path: str, *keys: str) -> None:
+    """``df`` as Parquet files in the order of ``keys``, file after file and row after row."""
+    df.orderBy(*keys).write.mode("overwrite").parquet(path)
+
+
 def write_export(rows: DataFrame, summary: DataFrame, path: str, fmt: str = "parquet") -> None:
     """The long table below ``path/fields`` by category, the summary row in ``path/summary``.
 
@@ -79,8 +156,8 @@ def write_export(rows: DataFrame, summary: DataFrame, path: str, fmt: str = "par
     category with most of the rows is split over several tasks and files.
     """
     # partitioned by a copy, so that every file keeps the whole header
-    by_category = rows.withColumn(_PART, F.col("Category")).hint("rebalance", _PART)
-    writer = by_category.write.mode("overwrite").partitionBy(_PART)
+    by_category = rows.withColumn(CATEGORY_PART, F.col("Category")).hint("rebalance", CATEGORY_PART)
+    writer = by_category.write.mode("overwrite").partitionBy(CATEGORY_PART)
     if fmt == "csv":
         writer.option("header", True).option("escape", '"').csv(f"{path}/fields")
     else:

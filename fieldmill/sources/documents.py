@@ -11,7 +11,9 @@ from fieldmill.schemas import RAW_DOCUMENT
 _BAD = "_corrupt_record"
 
 
-def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, multi_line: bool = True, name_filter: str = "[!._]*.json*"
+) -> DataFrame:
     """Entity documents under ``path``: ``entity, file_entity, is_valid, …, _corrupt_record``.
 
     One document per file with ``multi_line``, else one per line; the latter is splittable and the
@@ -23,7 +25,7 @@ def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> D
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BAD)
-        .option("pathGlobFilter", "[!._]*.json*")
+        .option("pathGlobFilter", name_filter)
         .json(path)
     )
     file_name = F.col("_metadata.file_name")

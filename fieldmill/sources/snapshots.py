@@ -4,11 +4,26 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PARTITION = "snapshot_date"
+#: tables of entities have a second partition column
+BUCKET = "entity_bucket"
+ENTITY_BUCKETS = 32
+
+
+def entity_bucket(entity: Column, buckets: int = ENTITY_BUCKETS) -> Column:
+    """The bucket that an entity's rows are stored in."""
+    return F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int")
+
+
+def buckets_of(spark: SparkSession, entities: Sequence[str]) -> list[int]:
+    """The buckets of a list of entities."""
+    rows = spark.createDataFrame([(e,) for e in entities], "entity string")
+    return [r[0] for r in rows.select(entity_bucket(F.col("entity"))).distinct().collect()]
 
 
 def parse_snapshot_date(text: str) -> dt.date:
@@ -44,10 +59,41 @@ def resolve_snapshot(spark: SparkSession, table: str, snapshot: str | None = Non
     return snapshot
 
 
-def read_snapshot(spark: SparkSession, table: str, snapshot: str | None = None) -> DataFrame:
-    """One snapshot of a table; only the folder of its partition is listed."""
+def read_snapshot(
+    spark: SparkSession,
+    table: str,
+    snapshot: str | None = None,
+    entities: Sequence[str] | None = None,
+) -> DataFrame:
+    """One snapshot of a table; only the folder of its partition is listed.
+
+    With ``entities`` only their rows; of a table in buckets only these entities' buckets are read.
+    """
     date = resolve_snapshot(spark, table, snapshot)
-    return spark.read.option("basePath", table).parquet(f"{table}/{PARTITION}={date}")
+    df = spark.read.option("basePath", table).parquet(f"{table}/{PARTITION}={date}")
+    if entities:
+        df = df.filter(F.col("entity").isin(list(entities)))
+        if BUCKET in df.columns:
+            df = df.filter(F.col(BUCKET).isin(buckets_of(spark, entities)))
+    return df.drop(BUCKET)
+
+
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of Parquet files with ``place``, their number from 0 in the order of files and rows.
+
+    Offsets come from one count a file; no row is sorted.
+    """
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    return (
+        rows.join(F.broadcast(offsets), "_file")  # a row for each file
+        .withColumn("place", F.col("_offset") + F.col("_row"))
+        .drop("_file", "_row", "_offset")
+    )
 
 
 def find_snapshot(spark: SparkSession, table: str, date: str) -> DataFrame | None:

@@ -242,3 +242,36 @@ def test_counting_needs_no_years(spark):
     assert full.schema == lean.schema
     assert "[0-9]{4}" not in lean._jdf.queryExecution().optimizedPlan().toString()
     assert [len(d.first()["values"]) for d in (full, lean)] == [2, 2]
+
+
+def test_field_diff_equals_the_diff_of_all_values(spark):
+    from fieldmill.operators.refine import value_rows
+
+    def side(rows):
+        frame = spark.createDataFrame(rows, "entity string, name string, data string, media string")
+        return frame.repartition(3)
+
+    text = "<strong>a:</strong> 1<br><strong>b:</strong> 2"
+    same = [(f"e{i}", f"n{i % 4}", f"v{i}<br>w", None) for i in range(40)] + [("p", "q", text, None)]
+    old = same + [("x", "gone", "1", None), ("x", "edited", "1<br>2", None), ("x", "twice", "1", None), ("x", "twice", "1", None)]
+    old += [(None, "n", "1", None), ("y", None, None, None), ("z", "n", None, None)]
+    new = same + [("x", "come", "1", None), ("x", "edited", "1<br>3", None), ("x", "twice", "1", None), ("x", "twice", "2", None)]
+    new += [(None, "n", "2", None), ("y", None, "1", None), ("z", "n", None, None)]
+    for a, b in ((old, new), (new, old), (old, old), (old, old[:0] or same[:1])):
+        got = S.field_diff(side(a), side(b), value_rows, ("data",)).collect()
+        want = S.snapshot_diff(value_rows(side(a)), value_rows(side(b))).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    changed = S.changed_fields(side(old), side(new), ("data",)).count()
+    assert changed == 6  # gone, come, edited, twice and the two with a null
+
+
+def test_field_diff_shuffles_hashes_and_changed_fields_only(spark):
+    from fieldmill.operators.refine import value_rows
+
+    side = spark.createDataFrame([("e", "n", "x", None)], "entity string, name string, data string, media string")
+    plan = S.field_diff(side, side, value_rows, ("data",))._jdf.queryExecution().optimizedPlan().toString()
+    union = plan.splitlines()
+    same = "\n".join(union[1 : next(i for i, line in enumerate(union) if i > 1 and line.startswith("+- "))])
+    # the branch of unchanged fields: one anti join with the hashes, no aggregate of values above it
+    assert "LeftAnti" in same and same.index("LeftAnti") < same.index("Aggregate")
+    assert "Window" not in same

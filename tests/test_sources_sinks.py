@@ -10,6 +10,7 @@ from fieldmill.operators.enrich import enrich_fields
 from fieldmill.plans import runs
 from fieldmill.sinks import tables as S
 from fieldmill.sources import documents, mapping, sitemap, snapshots
+from fieldmill.sources.export import read_export
 from fieldmill.sources.index import filter_index, read_index, read_index_documents, read_other_urls
 from fieldmill.streaming import stream_values
 
@@ -94,6 +95,106 @@ def test_sitemap_order_follows_files_not_splits(spark, tmp_path, split):
     assert got == [*want[:2], "https://h/c.xml", *want[2:]]
 
 
+def test_broken_sitemaps_do_not_stop_the_others(spark):
+    url = "<url><loc>{}</loc></url>"
+    cases = [
+        (SITEMAP.format(url.format("a&amp;b") + "<url/>" + url.format("<![CDATA[ c ]]>")), ["a&b", "c"], None),
+        ("<!-- x --><sitemapindex><sitemap><loc>d</loc></sitemap></sitemapindex>", ["d"], None),
+        (SITEMAP.format(""), [], None),
+        (SITEMAP.format(url.format("e"))[:-12], [], "unreadable"),
+        ("no markup", [], "unreadable"),
+        ("<html><url><loc>q</loc></url></html>", [], "not a sitemap"),
+        ("", [], "empty"),
+        (None, [], "empty"),
+    ]
+    docs = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_no long, xml string")
+    read = sitemap.parse_sitemaps(docs.repartition(3)).orderBy("doc_no").collect()
+    assert [(r.urls, r.error) for r in read] == [c[1:] for c in cases]
+    assert [r.url for r in sitemap.sitemap_urls(docs).orderBy("pos").collect()] == ["a&b", "c", "d"]
+    assert sitemap.sitemap_quarantine(docs).count() == 5
+    assert sitemap.sitemap_urls(docs.limit(0)).count() == 0
+
+
+def files_below(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_replacing_few_entities_leaves_other_files_alone(spark, tmp_path):
+    table = str(tmp_path / "t")
+    df = spark.range(10_000).selectExpr("CAST(id AS STRING) AS entity", "id AS v")
+    S.write_entities(df, table, "2025-01-01")
+    before = files_below(tmp_path)
+    S.replace_entities(df.where("id = 77").withColumn("v", F.lit(-1)), table, "2025-01-01", ["77"])
+    after = files_below(tmp_path)
+    bucket = snapshots.buckets_of(spark, ["77"])
+    changed = {f for f in before.keys() | after.keys() if before.get(f) != after.get(f)}
+    assert changed and all(f"entity_bucket={bucket[0]}/" in f for f in changed)
+    rows = snapshots.read_snapshot(spark, table)
+    assert rows.count() == 10_000 and rows.where("v = -1").collect()[0].entity == "77"
+    # an entity without rows goes, a bucket without rows too
+    small = str(tmp_path / "s")
+    S.write_entities(df.where("id < 2"), small, "2025-01-01")
+    S.replace_entities(df.limit(0), small, "2025-01-01", ["1", "absent"])
+    assert [r.entity for r in snapshots.read_snapshot(spark, small).collect()] == ["0"]
+    # only the asked entities' buckets are read
+    asked = snapshots.read_snapshot(spark, table, entities=["77", "78"])
+    assert asked.count() == 2 and len(asked.inputFiles()) <= 64
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "entity_bucket" in plan.split("PartitionFilters:")[1].split("]")[0]
+    S.write_entities(df.limit(0), table, "2025-01-01")
+    assert snapshots.list_snapshots(spark, table) == []
+
+
+def test_one_partition_of_a_dated_table_is_read(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for month in range(1, 7):
+        S.write_snapshot(spark.range(month), table, f"2025-0{month}-01")
+    newest = snapshots.latest_snapshot(spark.read.parquet(table))
+    assert newest.count() == 6
+    newest.collect()
+    scans = [node for node in leaves(newest._jdf.queryExecution().executedPlan()) if "FileSourceScan" in node.getClass().getName()]
+    read = [node.metrics().get("numPartitions").get().value() for node in scans if node.metrics().contains("numPartitions")]
+    assert 1 in read
+    assert len(snapshots.read_snapshot(spark, table, "2025-03-01").inputFiles()) <= 8
+
+
+def leaves(plan):
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    if "QueryStageExec" in plan.getClass().getSimpleName():
+        plan = plan.plan()
+    found = [plan]
+    children = plan.children()
+    for i in range(children.size()):
+        found += leaves(children.apply(i))
+    return found
+
+
+def test_order_of_stored_rows(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("CAST(pmod(id * 7919, 1000) AS STRING) AS slug").repartition(5)
+    S.write_in_order(rows, str(tmp_path / "i"), "slug")
+    read = {r.slug: r.place for r in snapshots.read_in_order(spark, str(tmp_path / "i")).collect()}
+    assert [s for s, _ in sorted(read.items(), key=lambda x: x[1])] == sorted(read)
+    assert sorted(read.values()) == list(range(1000))
+
+
+def test_export_files_keep_quotes_and_header(spark, tmp_path):
+    header = ["Entity", "Category", "Key", "Value", "Order", "Has Ranking"]
+    data = [('a "b", c', "x, y", None, 'l1\nl2 "q"\\', 0, True), ("d", "Unknown", "", "e", 1, False)]
+    rows = spark.createDataFrame(data, "a string, b string, c string, d string, e int, f boolean").toDF(*header)
+    for fmt in ("csv", "parquet"):
+        S.write_export(rows, rows.groupBy().count(), str(tmp_path / fmt), fmt)
+        read = read_export(spark, str(tmp_path / fmt), fmt)
+        assert read.columns == header and read.dtypes == rows.dtypes
+        # a CSV file can't tell an empty text from none
+        same = lambda r: tuple(v or None if isinstance(v, str) else v for v in r)
+        assert sorted(map(same, read.collect()), key=str) == sorted(map(same, data), key=str)
+        one = read_export(spark, str(tmp_path / fmt), fmt, ["x, y"])
+        assert one.count() == 1
+        filters = one._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1]
+        assert "x, y" in filters.split("PushedFilters")[0]
+
+
 def test_index_file(spark, tmp_path):
     entity = {"slug": "a", "urls": {"main": "u", "other": ["v"]}}
     write(tmp_path / "i.json", json.dumps({"entities": [entity, {"slug": "b", "urls": {}}]}))

@@ -236,6 +236,35 @@ SITEMAPS = {
     ),
 }
 
+#: the same with documents that are broken, of another kind, blank or absent among them
+MIXED_SITEMAPS = {
+    "doc_no": "c_custkey",
+    "xml": (
+        f"CASE c_custkey % 11 WHEN 1 THEN substr({SITEMAPS['xml']}, 1, 100) WHEN 4 THEN 'no markup'"
+        " WHEN 6 THEN '' WHEN 8 THEN NULL WHEN 9 THEN '<html><url><loc>x</loc></url></html>'"
+        f" ELSE '<?xml version=\"1.0\"?>' || {SITEMAPS['xml']} END"
+    ),
+}
+
+#: fields whose names and texts hold quotes, commas and line feeds
+QUOTED_FIELDS = {
+    "entity": "CAST(doc_id AS STRING)",
+    "name": "'say \"' || lang || '\", ' || source",
+    "database_id": "CAST(doc_id % 7 AS STRING)",
+    "category": "CASE WHEN doc_id % 5 <> 0 THEN 'part, ' || lang END",
+    "has_ranking": "doc_id % 2 = 0",
+    "data": (
+        "CASE WHEN doc_id % 2 = 0 THEN 'a \"quoted\" one' || chr(10) || 'two, three' || CAST(n_chars AS STRING)"
+        " || '<br>' || source ELSE '<strong>k \"' || lang || '\":</strong> x' || CAST(n_chars AS STRING)"
+        " || '<strong>\"\":</strong> ,y' END"
+    ),
+}
+
+#: fields of lines in a later snapshot: some changed, some gone; those that only it has are in both tables
+LATER_FIELDS = FIELDS | {
+    "data": f"CASE WHEN l_partkey % 50 = 7 THEN replace({FIELDS['data']}, 'units', 'pieces') ELSE {FIELDS['data']} END",
+}
+
 CATEGORY_PAGES = {
     "page_no": "CAST(doc_id % 100 AS BIGINT) * 100000000 + doc_id",
     "priority": "CASE WHEN doc_id < 40 THEN 1 ELSE 2 + doc_id % 2 END",
@@ -286,6 +315,10 @@ _TABLE_OF = {
     "landed": ("orders", PAGES, None),
     "site_urls": ("orders", SITE_URLS, None),
     "sitemaps": ("customer", SITEMAPS, None),
+    "mixed_sitemaps": ("customer", MIXED_SITEMAPS, None),
+    "quoted_fields": ("documents", QUOTED_FIELDS, None),
+    "earlier_fields": ("lineitem", FIELDS, "l_partkey % 50 <> 9"),
+    "later_fields": ("lineitem", LATER_FIELDS, "l_partkey % 50 <> 8"),
     "category_pages": ("documents", CATEGORY_PAGES, None),
     "fetches": ("events", FETCH_LOG, None),
     "order_snapshots": ("orders", ORDER_SNAPSHOTS, None),

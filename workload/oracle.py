@@ -431,6 +431,20 @@ _EXPORT = """SELECT entity AS entity, entity AS entity_slug, name AS field_name,
   CASE WHEN structure_type = 'simple' THEN '-' ELSE key END AS key, value, "order", has_ranking"""
 _WANTED = "category IN ('category 1', 'category 2', 'category 3')"
 ORACLE["export_rows"] = _leaf_sql() + _EXPORT + ", year FROM leaves"
+_QUOTED = f"""
+WITH q AS (SELECT * FROM ({derived_sql("quoted_fields")}) JOIN documents ON entity = CAST(doc_id AS VARCHAR)
+), leaves AS (
+  SELECT *, 'simple' AS structure_type, NULL AS key, unnest(['a "quoted" one' || chr(10) || 'two, three'
+    || CAST(n_chars AS VARCHAR), source]) AS value, unnest([0, 1]) AS "order" FROM q WHERE doc_id % 2 = 0
+  UNION ALL SELECT *, 'key_value_pairs', unnest(['k "' || lang || '"', '""']),
+    unnest(['x' || CAST(n_chars AS VARCHAR), ',y']), unnest([0, 1]) FROM q WHERE doc_id % 2 = 1
+) """
+ORACLE["export_files"] = (
+    _QUOTED
+    + _EXPORT
+    + ", format FROM leaves, (VALUES ('csv'), ('parquet')) AS f(format)"
+    " WHERE category IS NULL OR category IN ('part, de', 'part, fr', 'part, en')"
+)
 ORACLE["export_filtered"] = (
     _leaf_sql()
     + _EXPORT
@@ -483,6 +497,11 @@ ORACLE["raw_documents"] = (
   CASE WHEN m NOT IN (3, 5, 7, 9) THEN 2 + junk + bare END AS field_count,
   CASE WHEN m NOT IN (3, 5, 7, 9) THEN 2 + bare ELSE 0 END AS n_fields FROM o"""
 )
+ORACLE["document_files"] = (
+    _PAGE
+    + """SELECT entity, o_orderkey % 13 = 1 AS is_broken, o_orderkey % 13 <> 1 AS is_valid,
+  CASE WHEN o_orderkey % 13 <> 1 THEN 2 + bare END AS n_fields FROM good"""
+)
 ORACLE["exploded_fields"] = (
     _PAGE
     + "SELECT entity, 'Entity ' || o_orderkey AS entity_name, idx AS pos, name, data, database_id FROM f"
@@ -543,6 +562,19 @@ SELECT doc_no, url, doc_no * 8589934592 + i AS pos FROM (
   SELECT doc_no, unnest(locs) AS url, generate_subscripts(locs, 1) - 1 AS i FROM (
     SELECT doc_no, regexp_extract_all(xml, '<loc>([^<]*)</loc>', 1) AS locs
     FROM ({derived_sql("sitemaps")})))"""
+_MIXED = f"SELECT * FROM ({derived_sql('mixed_sitemaps')})"
+ORACLE["sitemap_mixed"] = f"""
+SELECT doc_no, url, doc_no * 8589934592 + i AS pos FROM (
+  SELECT doc_no, unnest(locs) AS url, generate_subscripts(locs, 1) - 1 AS i FROM (
+    SELECT doc_no, regexp_extract_all(xml, '<loc>([^<]*)</loc>', 1) AS locs
+    FROM ({_MIXED} WHERE doc_no % 11 NOT IN (1, 4, 6, 8, 9))))"""
+ORACLE["sitemap_quarantine"] = """
+SELECT c_custkey AS doc_no, CASE WHEN c_custkey % 11 IN (1, 4) THEN 'unreadable'
+  WHEN c_custkey % 11 = 9 THEN 'not a sitemap' ELSE 'empty' END AS error
+FROM customer WHERE c_custkey % 11 IN (1, 4, 6, 8, 9)"""
+ORACLE["index_order"] = (
+    _SITE + "SELECT slug, other_count, row_number() OVER (ORDER BY slug) - 1 AS place FROM full_idx"
+)
 ORACLE["index_load"] = (
     _SITE
     + "SELECT slug, main, flag, other_count AS n_other FROM full_idx WHERE slug IN"
@@ -605,6 +637,29 @@ ORACLE["snapshot_diff_summary"] = (
     _DIFF + "SELECT status, CAST(sum(copies) AS BIGINT) AS n_values FROM diff GROUP BY status"
 )
 
+# the rows of earlier and later fields, of which only the texts of some parts differ
+_PART_OF = "CAST(pos AS BIGINT) // 10 % 50"
+ORACLE["snapshot_diff_fields"] = (
+    _DIFF.replace("CAST(pos AS VARCHAR) AS name", "name, pos")
+    .replace("WHERE NOT (key = 'price') OR key IS NULL OR name NOT LIKE '%7'", f"WHERE {_PART_OF} <> 9")
+    .replace("WHERE NOT (key = 'quantity') OR key IS NULL OR name NOT LIKE '%3'", f"WHERE {_PART_OF} <> 8")
+    .replace(
+        "CASE WHEN name LIKE '%5' THEN upper(value)\n    WHEN name LIKE '%1' AND key IS NULL THEN NULL ELSE value END",
+        f"CASE WHEN {_PART_OF} = 7 THEN replace(value, 'units', 'pieces') ELSE value END",
+    )
+    .replace("SELECT *, 1 AS o, 0 AS n FROM a", 'SELECT entity, name, key, "order", value, 1 AS o, 0 AS n FROM a')
+    .replace("UNION ALL SELECT *, 0, 1 FROM b", 'UNION ALL SELECT entity, name, key, "order", value, 0, 1 FROM b')
+    + "SELECT * FROM diff"
+)
+ORACLE["snapshot_dated"] = (
+    f"WITH s AS ({derived_sql('order_snapshots')}) SELECT *, '1995-03-01' AS asked FROM s"
+    " WHERE snapshot_date = DATE '1995-03-01' UNION ALL SELECT *, 'latest' FROM s"
+    " WHERE snapshot_date = (SELECT max(snapshot_date) FROM s)"
+)
+ORACLE["snapshot_replace"] = f"""
+SELECT entity, pos, CASE WHEN entity = '1' THEN 'new' ELSE category END AS category
+FROM ({derived_sql("fields")}) WHERE entity <> '2'"""
+
 ORACLE["quality_rules"] = (
     _REFINED
     + """, spoiled AS (

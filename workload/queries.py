@@ -22,10 +22,16 @@ from fieldmill.operators import quality as Q
 from fieldmill.operators import refine as R
 from fieldmill.operators import runs as L
 from fieldmill.operators import url_index as I
+from fieldmill.schemas import EXPORT_COLUMNS
+from fieldmill.sinks.tables import replace_entities, write_entities, write_export, write_in_order
 from fieldmill.sources import mapping as CM
+from fieldmill.sources.documents import read_documents
+from fieldmill.sources.export import read_export
 from fieldmill.sources.index import filter_index
+from fieldmill.sources.sitemap import sitemap_quarantine as quarantined_sitemaps
 from fieldmill.sources.sitemap import sitemap_urls
-from fieldmill.sources.snapshots import latest_snapshot
+from fieldmill.sources.snapshots import latest_snapshot, read_in_order, read_snapshot
+from workload.files import scratch
 from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -366,6 +372,21 @@ def export_rows(spark, sf_dir):
     return _export(O.export_rows(leaves, with_year=True))
 
 
+@query
+def export_files(spark, sf_dir):
+    """The export as CSV and as Parquet files by category, read back; quotes and line feeds stay."""
+    fields = derived(spark, sf_dir, "quoted_fields")
+    rows = O.export_rows(R.value_rows(fields))
+    summary = O.export_summary(R.refine_fields(fields.withColumn("media", F.lit(None))), "2025-01-01")
+    parts = []
+    for fmt in ("csv", "parquet"):
+        folder = scratch(spark, f"export-{fmt}")
+        write_export(rows, summary, folder, fmt)
+        stored = read_export(spark, folder, fmt, ["Unknown", "part, de", "part, fr", "part, en"])
+        parts.append(_export(stored.select(*EXPORT_COLUMNS)).withColumn("format", F.lit(fmt)))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def export_filtered(spark, sf_dir):
     customers = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
@@ -473,6 +494,24 @@ def raw_documents(spark, sf_dir):
     )
 
 
+@query
+def document_files(spark, sf_dir):
+    """Documents as lines of JSON files, some cut short, read back with the broken ones told apart."""
+    folder = scratch(spark, "documents")
+    docs = P.parse_pages(_landed(spark, sf_dir)).filter("scrape_success")
+    line = F.to_json(F.struct(*docs.columns))
+    number = F.substring("entity", 2, 20).cast("bigint")
+    cut_short = F.when(number % 13 == 1, F.substring(line, 1, 40)).otherwise(line)
+    docs.select(cut_short.alias("value")).write.option("compression", "gzip").text(f"{folder}/part.json")
+    read = read_documents(spark, f"{folder}/part.json", multi_line=False, name_filter="part-*")
+    return read.select(
+        F.coalesce("entity", F.regexp_extract("_corrupt_record", '"entity":"([^"]*)', 1)).alias("entity"),
+        F.col("_corrupt_record").isNotNull().alias("is_broken"),
+        "is_valid",
+        F.when(F.col("is_valid"), F.size("data.fields")).cast("bigint").alias("n_fields"),
+    )
+
+
 @query
 def exploded_fields(spark, sf_dir):
     fields = R.explode_fields(P.parse_pages(_landed(spark, sf_dir)))
@@ -528,6 +567,25 @@ def sitemap_scan(spark, sf_dir):
     return sitemap_urls(derived(spark, sf_dir, "sitemaps")).select("doc_no", "url", "pos")
 
 
+@query
+def sitemap_mixed(spark, sf_dir):
+    return sitemap_urls(derived(spark, sf_dir, "mixed_sitemaps"))
+
+
+@query
+def sitemap_quarantine(spark, sf_dir):
+    broken = quarantined_sitemaps(derived(spark, sf_dir, "mixed_sitemaps"))
+    return broken.select("doc_no", "error")
+
+
+@query
+def index_order(spark, sf_dir):
+    """The stored index in its order: the number that a slug's row has, file after file."""
+    folder = scratch(spark, "index")
+    write_in_order(I.url_index(_entity_urls(spark, sf_dir)), folder, "slug")
+    return read_in_order(spark, folder).select("slug", "other_count", "place")
+
+
 @query
 def index_load(spark, sf_dir):
     """Index rows filtered by a table of wanted slugs."""
@@ -591,6 +649,35 @@ def snapshot_diff_summary(spark, sf_dir):
     return S.diff_summary(S.snapshot_diff(*_sides(spark, sf_dir)))
 
 
+@query
+def snapshot_diff_fields(spark, sf_dir):
+    """Two snapshots with few changes: contents are compared by hashes before any value is."""
+    sides = [derived(spark, sf_dir, name) for name in ("earlier_fields", "later_fields")]
+    return S.field_diff(*sides, R.value_rows, ("data",))
+
+
+@query
+def snapshot_dated(spark, sf_dir):
+    """Monthly partitions written as files, two of them read: an asked date and the newest."""
+    orders, folder = derived(spark, sf_dir, "order_snapshots"), scratch(spark, "snapshots")
+    orders.hint("rebalance", "snapshot_date").write.partitionBy("snapshot_date").parquet(folder)
+    asked = read_snapshot(spark, folder, "1995-03-01").withColumn("asked", F.lit("1995-03-01"))
+    newest = latest_snapshot(spark.read.parquet(folder)).withColumn("asked", F.lit("latest"))
+    return asked.unionByName(newest)
+
+
+@query
+def snapshot_replace(spark, sf_dir):
+    """One entity of a stored snapshot refined anew, and the whole snapshot read back."""
+    table, date = scratch(spark, "refined"), "2025-01-01"
+    stored = derived(spark, sf_dir, "fields").select("entity", "pos", "category")
+    write_entities(stored, table, date)
+    chosen = ["1", "2", "none"]
+    again = stored.filter(F.col("entity") == "1").withColumn("category", F.lit("new"))
+    replace_entities(again, table, date, chosen)
+    return read_snapshot(spark, table, date).drop("snapshot_date")
+
+
 # ---- quality and runs --------------------------------------------------------------------------------
 
 
