@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of this package that SQL can express on whole tables.
 
-Trained scores, alignments, fingerprints, page texts, repeated spans and the mix are beyond SQL; the
-tests hold them against brute force.
+Trained scores, alignments, fingerprints, page texts, repeated spans, the mix, token ids and eigenvectors
+are beyond SQL; the tests hold them against brute force.
 """
 
 from __future__ import annotations
@@ -105,3 +105,42 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
   last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
   coalesce(score, 0.0)::DOUBLE AS score
 FROM w LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)"""
+
+# CRC-32 of a decimal number: a step for each byte and eight for its bits
+_BITS = ", ".join(["-1"] * 8)
+_CRC = f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+  string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [ascii(x)::BIGINT, {_BITS}]))), lambda a, b:
+  CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END))"""
+LLM_ORACLE["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), h AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM (
+    SELECT h.conv_id, 0 AS own, pos, role, text FROM h JOIN t ON t.conv_id = base WHERE pos <= h
+    UNION ALL SELECT h.conv_id, 1, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id WHERE pos > h)
+), p AS (
+  SELECT conv_id, depth, octet_length(encode(text)) AS bytes, sha256(string_agg(
+    sha256(length(role) || ' ' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM h
+), n AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM p GROUP BY ALL
+), up AS (
+  SELECT n.*, p.node AS parent FROM n LEFT JOIN p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+), kids AS (SELECT parent AS node, count(*) AS n_children FROM up WHERE parent IS NOT NULL GROUP BY parent
+), sub AS (
+  SELECT p.node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * up.bytes) AS saved
+  FROM up LEFT JOIN kids ON kids.node = up.node JOIN p ON p.conv_id = up.conv_id AND p.depth <= up.depth
+  GROUP BY p.node
+), e AS (
+  SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM p WHERE (conv_id, depth) IN (SELECT conv_id, max(depth) FROM p GROUP BY conv_id) GROUP BY node
+)
+SELECT up.conv_id, up.depth, parents.conv_id AS parent_conv_id, up.n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM up LEFT JOIN n AS parents ON parents.node = up.parent LEFT JOIN kids ON kids.node = up.node
+JOIN sub ON sub.node = up.node LEFT JOIN e ON e.node = up.node"""
