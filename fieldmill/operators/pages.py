@@ -209,12 +209,24 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     )
 
 
+#: what becomes of a landed page
+RAW, QUARANTINE = "raw", "quarantine"
+
+
 def parse_pages(pages: DataFrame, iso_first: bool = False) -> DataFrame:
     """Landed pages ``entity, source_url, scraped_at, body`` to nested raw documents.
 
     Invalid pages keep a row with ``metadata.error``, no assets and no fields.  No shuffle: the
     field array is built inside the row.
     """
+    return landed_rows(pages, iso_first).drop("error", "body", "outcome")
+
+
+def landed_rows(pages: DataFrame, iso_first: bool = False) -> DataFrame:
+    """``parse_pages`` with ``outcome`` (raw or quarantine), and the error and body of invalid pages.
+
+    So one parse serves both tables.
+    """
     doc, ok = F.col("doc"), F.col("is_valid")
     nothing = F.lit(None).cast("string")
     metadata = F.struct(
@@ -251,4 +263,7 @@ def parse_pages(pages: DataFrame, iso_first: bool = False) -> DataFrame:
             assets.alias("assets"),
             F.coalesce(F.when(ok, raw_fields), empty).alias("fields"),
         ).alias("data"),
+        F.when(~ok, PAGE_ERROR).alias("error"),
+        F.when(~ok, F.col("body")).alias("body"),
+        F.when(ok, RAW).otherwise(QUARANTINE).alias("outcome"),
     )

@@ -47,9 +47,7 @@ def land_snapshot(
 ) -> str:
     """Parse landed pages into the ``raw`` table and write the run's log and metadata."""
     date, started = S.run_date(snapshot), dt.datetime.now(dt.timezone.utc)
-    docs = P.parse_pages(pages)
-    S.write_snapshot(docs.filter("scrape_success"), f"{root}/raw", date)
-    S.write_snapshot(P.quarantine(P.parse_bodies(pages)), f"{root}/quarantine", date)
+    S.write_outcomes(P.landed_rows(pages), root, "outcome", (P.RAW, P.QUARANTINE), date)
     log = run_log(
         spark,
         find_snapshot(spark, f"{root}/raw", date),

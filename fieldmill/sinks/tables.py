@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,6 +73,26 @@ def write_snapshot(df: DataFrame, table: str, snapshot: str | None = None) -> No
         _delete(df.sparkSession, f"{table}/{PARTITION}={date}")
 
 
+def write_outcomes(df: DataFrame, root: str, column: str, outcomes: Sequence[str], snapshot: str) -> None:
+    """One pass over ``df`` into a table below ``root`` for each of ``outcomes``, the values of ``column``.
+
+    Rows are written beside the tables first; each table's snapshot is then replaced by its folder.  An
+    outcome without rows clears its snapshot.  A run that ends in between can be run again.
+    """
+    spark, staged = df.sparkSession, f"{root}/_landing-{uuid.uuid4().hex}"
+    df.write.partitionBy(column).parquet(staged)
+    for outcome in outcomes:
+        place = f"{root}/{outcome}/{PARTITION}={snapshot}"
+        _delete(spark, place)
+        files, new = _folder(spark, f"{staged}/{column}={outcome}")
+        if files.exists(new):
+            target = _folder(spark, place)[1]
+            files.mkdirs(target.getParent())
+            if not files.rename(new, target):
+                raise OSError(f"{new} can't be moved to {target}")
+    _delete(spark, staged)
+
+
 def with_bucket(df: DataFrame, buckets: int = ENTITY_BUCKETS) -> DataFrame:
     """Add the second partition column, a bucket of the entity."""
     return df.withColumn(BUCKET, entity_bucket(F.col("entity"), buckets))

@@ -280,6 +280,30 @@ def test_landing_again(spark, tmp_path):
     assert snapshots.list_snapshots(spark, f"{root}/raw") == []
 
 
+def test_landing_parses_each_page_once(spark, tmp_path):
+    rows = [(f"e{i}", "u", page("f", "x") if i % 3 else "{bad") for i in range(30)]
+    pages = spark.createDataFrame(rows, "entity string, source_url string, body string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(len(batch))
+            yield batch
+
+    pages = pages.withColumn("scraped_at", F.lit("t"))
+    pages = pages.mapInPandas(counted, pages.schema)
+    root = str(tmp_path / "root")
+    runs.land_snapshot(spark, pages, root, "2025-01-01")
+    assert calls.value == 30  # the pages were read, and so parsed, once in the whole run
+    plan = P.landed_rows(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") == plan.lower().count("parse_json(body") <= 1
+    raw = snapshots.read_snapshot(spark, f"{root}/raw").collect()
+    assert len(raw) == 20 and all(r.scrape_success and r.body is None for r in raw)
+    bad = snapshots.read_snapshot(spark, f"{root}/quarantine").collect()
+    assert {(r.body, r.error) for r in bad} == {("{bad", P.PAGE_ERROR)} and len(bad) == 10
+    assert not [f for f in (tmp_path / "root").iterdir() if f.name.startswith("_landing")]
+
+
 def test_stream_gives_the_batch_result(spark, tmp_path):
     df = spark.createDataFrame([("a", page("f", "x<br>y (2020)")), ("b", "{bad")], "entity string, body string")
     df.write.parquet(str(tmp_path / "in"))
