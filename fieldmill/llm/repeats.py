@@ -326,16 +326,30 @@ def _merge(windows: DataFrame) -> DataFrame:
     return windows.repartition("doc_id").sortWithinPartitions("doc_id").mapInPandas(run, SPANS)
 
 
-def repeated_spans(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
-    """Spans of words that stand earlier already: doc_id, start_word, end_word (exclusive),
-    source_doc_id, source_start.
+def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``_row``, which tells texts apart and orders them, and its ``_row, doc_id`` where it
+    isn't the doc_id itself.
 
-    Every word of a span lies in a window of 50 words that occurs at the source first; a word may lie
-    in spans of several sources.  Words are lowered (A-Z) and counted from 0.  Null, empty and short
-    texts have no spans, and rows without a doc_id take no part.  Rows that share a doc_id should be
-    one text; of several the places cannot be told apart.  Other columns are ignored.
+    The doc_id does as long as no two texts share one; then numbers are dealt by doc_id and text hash.
+    Only hashes of the texts are shuffled.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
+    own = F.col("doc_id").cast("long")
+    hashed = docs.where("doc_id is not null and text is not null")
+    hashed = hashed.select(own.alias("_id"), F.xxhash64("text").alias("_hash"))
+    pairs = hashed.groupBy("_id").agg(F.min("_hash").alias("low"), F.max("_hash").alias("high"))
+    if pairs.where("low != high").isEmpty():
+        return docs.withColumn("_row", own), None
+    numbers = cut(
+        hashed.distinct().orderBy("_id", "_hash").withColumn("_row", F.monotonically_increasing_id())
+    )
+    keyed = docs.withColumns({"_id": own, "_hash": F.xxhash64("text")})
+    dealt = keyed.join(numbers, ["_id", "_hash"], "left").drop("_id", "_hash")
+    return dealt.select(*docs.columns, "_row"), numbers.select("_row", F.col("_id").alias("doc_id"))
+
+
+def _spans(numbered: DataFrame, max_group: int) -> DataFrame:
+    """``repeated_spans`` with ``_row`` in the place of doc_id."""
+    docs = numbered.select(F.col("_row").alias("doc_id"), "text").where(
         "doc_id is not null and text is not null"
     )
     kept = cut(suffixes(docs))
@@ -348,15 +362,39 @@ def repeated_spans(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     return _merge(found)
 
 
+def repeated_spans(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
+    """Spans of words that stand earlier already: doc_id, start_word, end_word (exclusive),
+    source_doc_id, source_start.
+
+    Every word of a span lies in a window of 50 words that occurs at the source first; a word may lie
+    in spans of several sources.  Words are lowered (A-Z) and counted from 0.  Null, empty and short
+    texts have no spans, and rows without a doc_id take no part.  Different texts with the same doc_id
+    are documents of their own, in the order of their hashes; equal rows are one.  An empty table gives
+    no spans.  Other columns are ignored.
+    """
+    numbered, names = _numbered(docs.select("doc_id", "text"))
+    spans = _spans(numbered, max_group)
+    if names is None:
+        return spans
+    source = names.toDF("source_doc_id", "_source")
+    spans = spans.withColumnRenamed("doc_id", "_row").join(names, "_row").join(source, "source_doc_id")
+    return spans.select(
+        "doc_id", "start_word", "end_word", F.col("_source").alias("source_doc_id"), "source_start"
+    )
+
+
 def drop_repeats(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """``docs`` with every repeated span cut out of its text, and n_chars set anew where cut.
 
     The first occurrence of each passage stays.  A text that consists of repeats becomes empty; its
-    row stays.  Rows without repeats are unchanged.
+    row stays.  Rows without repeats are unchanged, as are those without a doc_id or text.  Different
+    texts with the same doc_id are cut each by its own spans; equal rows are cut alike.  An empty table
+    stays empty, and other columns stay as they are.
     """
+    numbered, _ = _numbered(docs)
     cuts = (
-        repeated_spans(docs, max_group)
-        .groupBy(F.col("doc_id").alias("_doc"))
+        _spans(numbered, max_group)
+        .groupBy(F.col("doc_id").alias("_row"))
         .agg(F.collect_set(F.struct("start_word", "end_word")).alias("_cuts"))
     )
     columns = docs.columns
@@ -386,5 +424,4 @@ def drop_repeats(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
         keep.append(block.data[at:])
         return b"".join(keep).decode("utf-8", "surrogatepass")
 
-    joined = docs.join(cuts, docs["doc_id"] == cuts["_doc"], "left").drop("_doc")
-    return joined.mapInArrow(run, docs.schema)
+    return numbered.join(cuts, "_row", "left").drop("_row").mapInArrow(run, docs.schema)

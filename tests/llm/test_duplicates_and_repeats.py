@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import fieldmill.llm.near_duplicates as N
 import fieldmill.llm.repeats as R
@@ -160,6 +161,29 @@ def test_cutting_repeats(docs, odd):
     assert R.drop_repeats(odd.limit(0)).count() == 0
 
 
+def test_texts_that_share_a_doc_id(spark):
+    rng = random.Random(11)
+    noise = lambda n: " ".join(f"n{rng.random()}" for _ in range(n))
+    passage = noise(80)
+    first, second = f"{noise(300)} {passage}", f"{passage} {noise(3)}"
+    third = f"{noise(10)} {passage} {noise(70)}"
+    rows = [(1, first), (1, second), (1, second), (2, third), (2, None), (None, first), (None, passage), (3, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x"))
+    spans = R.repeated_spans(frame).collect()
+    assert {(r.doc_id, r.source_doc_id) for r in spans} == {(1, 1), (2, 1)}
+    assert {(r.start_word, r.end_word) for r in spans if r.doc_id == 2} == {(10, 90)}
+    left = R.drop_repeats(frame)
+    assert left.columns == frame.columns
+    texts = [(r.doc_id, r.text) for r in left.collect()]
+    assert len(texts) == len(rows)
+    without = sum(passage in (t or "") for i, t in texts if i == 1)
+    assert without in (1, 2)  # the text with the lesser hash keeps the passage, equal rows are cut alike
+    assert not any(passage in t for i, t in texts if i == 2 and t)
+    assert sum(i is None and passage in t for i, t in texts) == 2
+    assert R.repeated_spans(left).isEmpty()
+    assert R.repeated_spans(frame.limit(0)).isEmpty()
+
+
 def test_words_of_texts_in_pieces():
     texts = ["A bC\tde", None, "", "x" * (1 << 20) + " tail", "Straße  é"]
     block = word_block(texts)
