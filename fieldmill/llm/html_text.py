@@ -88,6 +88,7 @@ class Page:
         self.pieces: list[str] = []
         self.owner: list[int] = []
         self._open: list[int] = []
+        self._places: dict[str, list[int]] = {}  # by tag: where in the stack its open elements are
         self._articles = 0
         #: elements that are asides by class or id alone: the names that say so
         self.named: dict[int, list[str]] = {}
@@ -176,10 +177,12 @@ class Page:
         self.aside.append(aside or (parent >= 0 and self.aside[parent]))
         if names and not aside:
             self.named[len(self.tag) - 1] = names
+        self._places.setdefault(tag, []).append(len(self._open))
         self._open.append(len(self.tag) - 1)
 
     def _end(self) -> None:
         node = self._open.pop()
+        self._places[self.tag[node]].pop()
         self.last[node] = len(self.pieces)
         self._articles -= self.tag[node] in ("article", "main")
         if self.tag[node] in _BLOCK:
@@ -187,14 +190,14 @@ class Page:
 
     def _end_through(self, tags, barriers=()) -> None:
         """End the nearest open element of ``tags`` and all inside it, unless a barrier is nearer."""
-        for k in range(len(self._open) - 1, 0, -1):
-            tag = self.tag[self._open[k]]
-            if tag in tags:
-                while len(self._open) > k:
-                    self._end()
-                return
-            if tag in barriers:
-                return
+        nearest = self._nearest(tags)
+        if nearest > 0 and (nearest == len(self._open) - 1 or nearest >= self._nearest(barriers)):
+            while len(self._open) > nearest:
+                self._end()
+
+    def _nearest(self, tags) -> int:
+        """Place in the stack of the innermost open element of ``tags``, 0 without one."""
+        return max((places[-1] for tag in tags if (places := self._places.get(tag))), default=0)
 
     def _text(self, text: str) -> None:
         self._add(entities.unescape(text) if "&" in text else text)
