@@ -160,9 +160,12 @@ def refine_fields(
     )
 
 
-def value_rows(fields: DataFrame, decode_entities: bool = False) -> DataFrame:
-    """One row per leaf value of unrefined fields; see ``leaf_rows``."""
-    return leaf_rows(refine_fields(fields, decode_entities=decode_entities))
+def value_rows(fields: DataFrame, decode_entities: bool = False, years: bool = True) -> DataFrame:
+    """One row per leaf value of unrefined fields; see ``leaf_rows``.
+
+    Without ``years`` the column stays null: inside an array the optimizer can't leave it out by itself.
+    """
+    return leaf_rows(refine_fields(fields, decode_entities=decode_entities, years=years))
 
 
 def leaf_rows(refined: DataFrame) -> DataFrame:

@@ -392,7 +392,7 @@ def export_filtered(spark, sf_dir):
     customers = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
     wanted = customers.select(F.col("o_orderkey").cast("string").alias("entity"))
     fields = O.filter_fields(derived(spark, sf_dir, "fields"), wanted, _EXPORT_CATEGORIES)
-    return _export(O.export_rows(R.value_rows(fields)))
+    return _export(O.export_rows(R.value_rows(fields, years=False)))
 
 
 @query
@@ -627,7 +627,7 @@ def snapshot_latest(spark, sf_dir):
 
 def _sides(spark, sf_dir):
     """Two states of the values of every line: as shipped, and with some lines changed."""
-    rows = R.value_rows(derived(spark, sf_dir, "fields"))
+    rows = R.value_rows(derived(spark, sf_dir, "fields"), years=False)
     keyed = rows.select("entity", F.col("pos").cast("string").alias("name"), "key", "order", "value")
     old = keyed.filter("NOT (key = 'price')  OR key IS NULL OR name NOT LIKE '%7'")
     new = keyed.filter("NOT (key = 'quantity') OR key IS NULL OR name NOT LIKE '%3'").withColumn(
@@ -653,7 +653,7 @@ def snapshot_diff_summary(spark, sf_dir):
 def snapshot_diff_fields(spark, sf_dir):
     """Two snapshots with few changes: contents are compared by hashes before any value is."""
     sides = [derived(spark, sf_dir, name) for name in ("earlier_fields", "later_fields")]
-    return S.field_diff(*sides, R.value_rows, ("data",))
+    return S.field_diff(*sides, lambda fields: R.value_rows(fields, years=False), ("data",))
 
 
 @query
@@ -684,7 +684,7 @@ def snapshot_replace(spark, sf_dir):
 @query
 def quality_rules(spark, sf_dir):
     """Rules over refined fields, some of them spoiled first."""
-    spoiled = _refined(spark, sf_dir).select(
+    spoiled = _counted(spark, sf_dir).select(
         F.when(F.col("pos") % 11 != 0, F.col("entity")).alias("entity"),
         "pos",
         F.when(F.col("pos") % 13 != 0, F.col("structure_type")).otherwise("odd").alias("structure_type"),
