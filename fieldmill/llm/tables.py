@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which the driver and all executors see.
 
-    Only where the session names none (local tests) a temporary folder is set.
+    Only a local session may name none (tests); it gets a temporary folder.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
@@ -25,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldmill-"))
     return context._jsc.sc().getCheckpointDir().get()
 
