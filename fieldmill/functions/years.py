@@ -5,52 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: the two year forms, the more specific one first, and the guard's limits
+# fixed values: the two year forms and the limits of a plain data point
 ESTIMATED_YEAR = r"\(([0-9]{4}) est\.\)"
 PLAIN_YEAR = r"\(([0-9]{4})\)"
-ANY_YEAR = r"\([0-9]{4}(?: est\.)?\)"
-_ANY_YEAR_DIGITS = r"\(([0-9]{4})(?: est\.)?\)"
+ANY_YEAR = r"\(([0-9]{4})(?: est\.)?\)"
 MAX_VALUE_LENGTH = 120
 MAX_YEARS_IN_VALUE = 1
 
 
-def extract_year(value: Column) -> Column:
-    """First estimated year, else first plain year, else null."""
-    return F.coalesce(
-        F.nullif(F.regexp_extract(value, ESTIMATED_YEAR, 1), F.lit("")),
-        F.nullif(F.regexp_extract(value, PLAIN_YEAR, 1), F.lit("")),
-    )
-
-
-def should_extract_year(
-    value: Column,
-    max_length: int = MAX_VALUE_LENGTH,
-    max_years: int = MAX_YEARS_IN_VALUE,
+def is_data_point(
+    value: Column, max_length: int = MAX_VALUE_LENGTH, max_years: int = MAX_YEARS_IN_VALUE
 ) -> Column:
     """False for text that looks descriptive: several years, or one year in a long text."""
     found = F.regexp_count(value, F.lit(ANY_YEAR))
-    return F.coalesce(
-        (value != "")
-        & (found <= max_years)
-        & ~((found == 1) & (F.char_length(value) > max_length)),
-        F.lit(False),
-    )
+    fits = (found <= max_years) & ((found != 1) | (F.char_length(value) <= max_length))
+    return F.coalesce((value != "") & fits, F.lit(False))
 
 
-def extract_year_smart(
-    value: Column,
-    max_length: int = MAX_VALUE_LENGTH,
-    max_years: int = MAX_YEARS_IN_VALUE,
+def year_tag(
+    value: Column, max_length: int = MAX_VALUE_LENGTH, max_years: int | None = MAX_YEARS_IN_VALUE
 ) -> Column:
-    """The year of a plain data point, null for descriptive text."""
-    has_year = value.rlike(ANY_YEAR)
+    """The year of a data point: the first estimated one, else the first plain one, else null.
+
+    Descriptive text has none, unless ``max_years`` is None: then every text may.
+    """
     if max_years == 1:
         # with a single match its form does not matter; most values have none and stop at once
-        several = value.rlike(f"(?s){ANY_YEAR}.*{ANY_YEAR}")
-        is_short = F.char_length(value) <= max_length
-        return F.when(
-            has_year & is_short & ~several, F.regexp_extract(value, _ANY_YEAR_DIGITS, 1)
-        )
-    return F.when(
-        has_year & should_extract_year(value, max_length, max_years), extract_year(value)
+        single = value.rlike(ANY_YEAR) & ~value.rlike(f"(?s){ANY_YEAR}.*{ANY_YEAR}")
+        fits = F.char_length(value) <= max_length
+        return F.when(single & fits, F.regexp_extract(value, ANY_YEAR, 1))
+    first = F.coalesce(
+        F.nullif(F.regexp_extract(value, ESTIMATED_YEAR, 1), F.lit("")),
+        F.nullif(F.regexp_extract(value, PLAIN_YEAR, 1), F.lit("")),
     )
+    return first if max_years is None else F.when(is_data_point(value, max_length, max_years), first)

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from fieldmill.functions import markup as K
 from fieldmill.functions import text as X
 from fieldmill.functions.numbers import percentage
-from fieldmill.functions.years import extract_year_smart
+from fieldmill.functions.years import year_tag
 
 
 def _year(value: Column, years: bool) -> Column:
-    return extract_year_smart(value) if years else F.lit(None).cast("string")
+    return year_tag(value) if years else F.lit(None).cast("string")
 
 
 def _value(value: Column, order: Column, years: bool, key: Column | None = None) -> Column:

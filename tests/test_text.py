@@ -146,10 +146,10 @@ def test_years(spark):
         "": None,
         None: None,
     }
-    assert evaluate(spark, Y.extract_year_smart, cases) == list(cases.values())
-    two = lambda t: Y.extract_year_smart(t, max_years=2)
+    assert evaluate(spark, Y.year_tag, cases) == list(cases.values())
+    two = lambda t: Y.year_tag(t, max_years=2)
     assert evaluate(spark, two, ["(2023) and (2024 est.)", "(1) (2001)"]) == ["2024", "2001"]
-    assert evaluate(spark, Y.should_extract_year, ["", None, "x", "(2001) (2002)"]) == [
+    assert evaluate(spark, Y.is_data_point, ["", None, "x", "(2001) (2002)"]) == [
         False,
         False,
         True,

@@ -192,10 +192,10 @@ def year_extract(spark, sf_dir):
     return derived(spark, sf_dir, "fields").select(
         "entity",
         "pos",
-        Y.extract_year(data).alias("first_year"),
-        Y.should_extract_year(data).alias("is_data_point"),
-        Y.extract_year_smart(data).alias("year"),
-        Y.extract_year_smart(data, max_length=60, max_years=2).alias("year_of_two"),
+        Y.year_tag(data, max_years=None).alias("first_year"),
+        Y.is_data_point(data).alias("is_data_point"),
+        Y.year_tag(data).alias("year"),
+        Y.year_tag(data, max_length=60, max_years=2).alias("year_of_two"),
     )
 
 
