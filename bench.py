@@ -21,6 +21,7 @@ HEADLINE = (
     "values_by_year",
     "structure_types",
     "value_rows",
+    "kv_nested",
     "split_documents",
     "split_pages",
     "year_extract",
@@ -41,6 +42,7 @@ HEADLINE = (
     "mapping_extract",
     "snapshot_latest",
     "snapshot_diff",
+    "snapshot_diff_fields",
     "quality_rules",
     "run_metadata",
 )
