@@ -502,6 +502,18 @@ ORACLE["document_files"] = (
     + """SELECT entity, o_orderkey % 13 = 1 AS is_broken, o_orderkey % 13 <> 1 AS is_valid,
   CASE WHEN o_orderkey % 13 <> 1 THEN 2 + bare END AS n_fields FROM good"""
 )
+ORACLE["landing_run"] = (
+    _PAGE
+    + """SELECT entity, CASE WHEN m IN (3, 5, 7, 9) THEN 'quarantine' ELSE 'raw' END AS stored_in,
+  CASE WHEN m NOT IN (3, 5, 7, 9) THEN 2 + bare END AS n_fields FROM o"""
+)
+ORACLE["landing_report"] = (
+    _PAGE
+    + """SELECT '2025-01-01' AS snapshot_date, count(*) AS total_entities,
+  count(*) FILTER (WHERE m NOT IN (3, 5, 7, 9)) AS successful,
+  count(*) FILTER (WHERE m IN (3, 5, 7, 9)) AS failed,
+  CAST(sum(2 + bare) FILTER (WHERE m NOT IN (3, 5, 7, 9)) AS BIGINT) AS total_fields FROM o"""
+)
 ORACLE["exploded_fields"] = (
     _PAGE
     + "SELECT entity, 'Entity ' || o_orderkey AS entity_name, idx AS pos, name, data, database_id FROM f"
@@ -547,6 +559,7 @@ SELECT page_id, path, '{URL_BASE}/page-data' || rtrim(replace(path, '/en', ''),
   || '/page-data.json' AS page_data_url
 FROM (SELECT page_id, regexp_extract(url, '^https?://[^/]*([^?#]*)', 1) AS path FROM pages)"""
 ORACLE["url_index"] = _SITE + "SELECT * EXCLUDE (other) FROM full_idx"
+ORACLE["index_files"] = ORACLE["url_index"]
 ORACLE["url_other"] = _SITE + "SELECT slug, url, pos FROM others"
 _TYPES = ("main", "factsheet", "images", "flag", "map", "locator_map")
 ORACLE["url_types"] = (

@@ -22,12 +22,19 @@ from fieldmill.operators import quality as Q
 from fieldmill.operators import refine as R
 from fieldmill.operators import runs as L
 from fieldmill.operators import url_index as I
+from fieldmill.plans import runs
 from fieldmill.schemas import EXPORT_COLUMNS
-from fieldmill.sinks.tables import replace_entities, write_entities, write_export, write_in_order
+from fieldmill.sinks.tables import (
+    replace_entities,
+    write_entities,
+    write_export,
+    write_in_order,
+    write_url_index,
+)
 from fieldmill.sources import mapping as CM
 from fieldmill.sources.documents import read_documents
 from fieldmill.sources.export import read_export
-from fieldmill.sources.index import filter_index
+from fieldmill.sources.index import filter_index, read_index
 from fieldmill.sources.sitemap import sitemap_quarantine as quarantined_sitemaps
 from fieldmill.sources.sitemap import sitemap_urls
 from fieldmill.sources.snapshots import latest_snapshot, read_in_order, read_snapshot
@@ -512,6 +519,32 @@ def document_files(spark, sf_dir):
     )
 
 
+def _landing(spark, sf_dir) -> str:
+    root = scratch(spark, "landing")
+    runs.land_snapshot(spark, _landed(spark, sf_dir), root, "2025-01-01")
+    return root
+
+
+@query
+def landing_run(spark, sf_dir):
+    """A whole landing run, and what its two tables hold afterwards."""
+    root = _landing(spark, sf_dir)
+    raw = read_snapshot(spark, f"{root}/raw", "latest").select(
+        "entity", F.lit("raw").alias("stored_in"), F.size("data.fields").cast("bigint").alias("n_fields")
+    )
+    broken = read_snapshot(spark, f"{root}/quarantine", "2025-01-01").select(
+        "entity", F.lit("quarantine").alias("stored_in"), F.lit(None).cast("bigint").alias("n_fields")
+    )
+    return raw.unionByName(broken)
+
+
+@query
+def landing_report(spark, sf_dir):
+    """The stored report of the same run."""
+    report = spark.read.json(f"{_landing(spark, sf_dir)}/reports/2025-01-01/metadata")
+    return report.select("snapshot_date", "total_entities", "successful", "failed", "total_fields")
+
+
 @query
 def exploded_fields(spark, sf_dir):
     fields = R.explode_fields(P.parse_pages(_landed(spark, sf_dir)))
@@ -586,6 +619,14 @@ def index_order(spark, sf_dir):
     return read_in_order(spark, folder).select("slug", "other_count", "place")
 
 
+@query
+def index_files(spark, sf_dir):
+    """The stored URL index, written and read back as a later step reads it."""
+    folder = scratch(spark, "url-index")
+    write_url_index(_entity_urls(spark, sf_dir), folder, "sitemap.xml")
+    return read_index(spark, folder)
+
+
 @query
 def index_load(spark, sf_dir):
     """Index rows filtered by a table of wanted slugs."""
