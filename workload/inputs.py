@@ -340,16 +340,28 @@ _ROW_KEYS = {
 }
 
 
+#: bytes of table files whose rows one task works on: 100,000 to 300,000 lines or orders
+TASK_BYTES = 2 << 20
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks for the rows of a table just read: by the size of its files, and one per core at least."""
+    n_bytes = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-int(str(n_bytes)) // TASK_BYTES))
+
+
 def spread(df: DataFrame, name: str) -> DataFrame:
-    """Deal rows over all cores when the files give fewer partitions than that.
+    """Deal rows over as many tasks as the size of the table asks for.
 
-    The text work is the cost here, not the scan.  A table of many files keeps its partitions.
-    Rows are dealt by their unique key, which unlike a round robin needs no sort to be repeatable.
+    The text work is the cost here, not the scan.  Splits of the scan do not tell how rows are dealt: a row
+    group is read by one task, however many splits its file has, and a split has up to 128 MB.  So only a
+    table of at least as many files as tasks keeps its partitions.  Rows are dealt by their unique key, which
+    unlike a round robin needs no sort to be repeatable.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    tasks = tasks_for(df)
+    if df.rdd.getNumPartitions() >= tasks and len(df.inputFiles()) >= tasks:
         return df
-    return df.repartition(cores, *_ROW_KEYS[name])
+    return df.repartition(tasks, *_ROW_KEYS[name])
 
 
 def _outlined(expr: str) -> str:
