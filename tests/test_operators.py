@@ -275,3 +275,25 @@ def test_field_diff_shuffles_hashes_and_changed_fields_only(spark):
     # the branch of unchanged fields: one anti join with the hashes, no aggregate of values above it
     assert "LeftAnti" in same and same.index("LeftAnti") < same.index("Aggregate")
     assert "Window" not in same
+
+
+def test_snapshot_diff_moves_rows_once(spark):
+    side = "entity string, name string, key string, order int, value string"
+    old = spark.createDataFrame([("a", "f", None, 0, "1"), ("a", "f", None, 1, "x"), ("b", "f", "k", 0, None)], side)
+    new = spark.createDataFrame([("a", "f", None, 0, "2"), ("a", "f", None, 1, "x"), ("b", "f", "k", 0, None)] * 2, side)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        diff = S.snapshot_diff(old, new, tasks=5)
+        plan = diff._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert diff.rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted((r.entity, r.order, r.status, r.copies) for r in diff.collect()) == [
+        ("a", 0, "added", 2),
+        ("a", 0, "removed", 1),
+        ("a", 1, "added", 1),
+        ("a", 1, "unchanged", 1),
+        ("b", 0, "added", 1),
+        ("b", 0, "unchanged", 1),
+    ]

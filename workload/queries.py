@@ -39,7 +39,7 @@ from fieldmill.sources.sitemap import sitemap_quarantine as quarantined_sitemaps
 from fieldmill.sources.sitemap import sitemap_urls
 from fieldmill.sources.snapshots import latest_snapshot, read_in_order, read_snapshot
 from workload.files import scratch
-from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived, spread, table
+from workload.inputs import DATE_TEXT, URL_BASE, URL_PREFIX, derived, spread, table, tasks_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -680,21 +680,27 @@ def _sides(spark, sf_dir):
     return old, new
 
 
+def _diff(spark, sf_dir):
+    # a line gives some three values on each side; the parts of the exchange grow with the table
+    return S.snapshot_diff(*_sides(spark, sf_dir), tasks=tasks_for(table(spark, sf_dir, "lineitem")))
+
+
 @query
 def snapshot_diff(spark, sf_dir):
-    return S.snapshot_diff(*_sides(spark, sf_dir))
+    return _diff(spark, sf_dir)
 
 
 @query
 def snapshot_diff_summary(spark, sf_dir):
-    return S.diff_summary(S.snapshot_diff(*_sides(spark, sf_dir)))
+    return S.diff_summary(_diff(spark, sf_dir))
 
 
 @query
 def snapshot_diff_fields(spark, sf_dir):
     """Two snapshots with few changes: contents are compared by hashes before any value is."""
     sides = [derived(spark, sf_dir, name) for name in ("earlier_fields", "later_fields")]
-    return S.field_diff(*sides, lambda fields: R.value_rows(fields, years=False), ("data",))
+    tasks = tasks_for(table(spark, sf_dir, "lineitem"))
+    return S.field_diff(*sides, lambda fields: R.value_rows(fields, years=False), ("data",), tasks=tasks)
 
 
 @query
