@@ -1,9 +1,12 @@
 """Keyed text in any nesting: what stands behind a strong or note tag within the element around it.
 
 Most keyed text is flat: no element holds another one.  There the text between two strong tags is the
-answer and ``is_flat`` tells so with one linear pattern.  Other text is cut into tokens, and one pass over
-them carries the stack of open elements.  End tags that close nothing are dropped, elements that are still
-open where their parent closes end there.
+answer and ``is_flat`` tells so with one linear pattern.  Text whose elements all close, nested to a depth
+that one pattern can follow, is read by patterns as well.  In other text end tags that close nothing are
+dropped and elements that are still open where their parent closes end there; so mended, it is read the same
+way.  What patterns can't follow (deeper text, a strong tag in another one, comments, scripts, quoted angle
+brackets) is cut into tokens, and one pass over them carries the stack of open elements: it gives the same
+contents for any text, at several times the cost.
 """
 
 from __future__ import annotations
@@ -23,9 +26,8 @@ RAW = ("script", "style")
 
 _NAME = r"[A-Za-z][^\s/>]*+"
 _REST = r"(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?>"
-_TOKEN = (
-    rf"(?is)<!--.*?-->|<![^>]*>|<({'|'.join(RAW)})\b[^>]*>.*?</\1\s*>|</?{_NAME}{_REST}|[^<]++|<"
-)
+_ANY = rf"<!--.*?-->|<![^>]*>|<(?<raw>{'|'.join(RAW)})\b[^>]*>.*?</\k<raw>\s*>|</?{_NAME}{_REST}|[^<]++|<"
+_TOKEN = f"(?is){_ANY}"
 _FLAT = rf"(?is)^(?:[^<]++|<br\s*+/?>|<(?!br[\s/>])({_NAME})(?:\s[^>/]*+)?>[^<]*+</\1\s*+>)*+$"
 
 _STACK = "array<struct<name:string,at:int>>"
@@ -159,10 +161,118 @@ def _nested() -> str:
     walked = _let("marks", _closed("s", "0", "size(tokens)"), found)
     body = _let("w", walked, f"concat({pairs}, {notes})")
     walk = _let("s", f"aggregate(tokens, {start}, {_step()})", body)
-    return f"a -> {_let('tokens', _tokens('a.html'), walk)}"
+    return _let("tokens", _tokens("a.html"), walk)
 
 
-_NESTED = _nested()
+# ---- text that patterns can follow -----------------------------------------------------------------
+
+# fixed value: how deep elements may lie in each other for the patterns; deeper text is walked
+DEPTH = 6
+
+_PLAIN_TEXT = r"[^<]++|<(?![A-Za-z/!])"
+_PLAIN_NAME = r"[A-Za-z][A-Za-z0-9]*+"
+_QUOTED = r"(?:[\s/](?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)?+"
+_OPEN_END, _ALONE_END = r"(?<!/)>", r"(?<=/)>"
+
+
+def _item(depth: int, level: str, strongs: bool = True) -> str:
+    """A pattern for text, a tag that stands alone or a whole element with ``depth`` others in each other in it.
+
+    Group names start with ``level``.  Without ``strongs`` no strong element may be in it.
+    """
+    not_raw = f"(?!(?:{'|'.join(RAW)})[\\s/>])"
+    void = f"(?:{'|'.join(VOID)})(?=[\\s/>])"
+    alone = f"<{not_raw}(?:{void}{_QUOTED}>|{_PLAIN_NAME}{_QUOTED}{_ALONE_END})"
+    if depth < 0:
+        return f"{_PLAIN_TEXT}|{alone}"
+    no_strong = "" if strongs else r"(?!strong[\s>])"
+    inner = _item(depth - 1, level, strongs)
+    name = f"{level}{depth}"
+    element = (
+        f"<{not_raw}{no_strong}(?!{void})(?<{name}>{_PLAIN_NAME}){_QUOTED}{_OPEN_END}(?:{inner})*+</\\k<{name}>\\s*+>"
+    )
+    return f"{_PLAIN_TEXT}|{element}|{alone}"
+
+
+_ITEM, _NO_STRONG_ITEM = _item(DEPTH - 1, "e"), _item(DEPTH - 1, "n", strongs=False)
+_REGULAR = rf"(?is)\A(?:{_ITEM})*+\z"
+_STRONG_START = rf"<strong(?=[\s/>]){_QUOTED}{_OPEN_END}"
+_STRONG_IN_STRONG = rf"(?is){_STRONG_START}(?:[^<]++|<(?!/?strong[\s/>]))*+<strong[\s/>]"
+_KEY = rf"{_STRONG_START}((?:[^<]++|<(?!/strong\s*+>))*+)</strong\s*+>"
+_NOTE_CHAR = r"(?:[^<]|<(?![A-Za-z/!]))"
+_NOTE = rf"<b(?=[\s/>]){_QUOTED}{_OPEN_END}(?:(?!note:){_NOTE_CHAR})*+note:{_NOTE_CHAR}*+</b\s*+>"
+
+
+def _pair_pattern(stop: str) -> str:
+    """Group 1 is what follows a strong element: up to the next one, if that is its sibling, or ``stop``."""
+    to_strong = f"(?:{stop}(?:{_NO_STRONG_ITEM}))*+(?={_STRONG_START})"
+    key = _KEY.replace("((?:", "(?:(?:")
+    return f"(?is){key}(?=({to_strong}|(?:{stop}(?:{_ITEM}))*+))"
+
+
+_PAIR, _NOTED_PAIR = _pair_pattern(""), _pair_pattern(f"(?!{_NOTE})")
+_NOTE_PAIR = f"(?is){_NOTE}(?=((?:(?!{_NOTE}|{_STRONG_START})(?:{_ITEM}))*+))"
+
+# two characters mark the pieces of text to be mended: one before each, one behind whole items and before tags
+_PIECE, _TAG = "\x01", "\x02"
+_PIECES = f"(?is)((?:{_ITEM})++)|(?<tag>{_ANY})"
+_MARKED = f"{_PIECE}$1{_TAG}${DEPTH + 2}"
+
+
+def _mended(html: str) -> str:
+    """``html`` with all its elements closed and without other end tags; null where the walk has to read it.
+
+    The state holds the end tags of the open elements, the innermost first, and the text so far.
+    """
+
+    def state(stack: str, out: str) -> str:
+        return f"named_struct('stack', {stack}, 'out', {out})"
+
+    unknown = state("s.stack", "CAST(NULL AS STRING)")
+    # a bracket at the end could open a tag with what comes then; a dropped tag parts the text of a note
+    bracket = f"endswith(s.out, '<{_TAG}')"
+    closed = state(
+        "substring(s.stack, k + length(n) + 3)",
+        f"if({bracket}, NULL, s.out || substring(s.stack, 1, k - 1) || p)",
+    )
+    stray = state("s.stack", f"if({bracket} OR startswith(s.stack, '</b>'), NULL, s.out)")
+    close = _let("k", "instr(s.stack, '</' || n || '>')", f"if(k = 0, {stray}, {closed})")
+    tag = f"""CASE WHEN n = '' OR n IN ({_listed(RAW)}) THEN {unknown}
+      WHEN startswith(p, '{_TAG}</') THEN {close}
+      WHEN endswith(p, '/>') OR n IN ({_listed(VOID)}) THEN {unknown}
+      ELSE {state("'</' || n || '>' || s.stack", "s.out || p")} END"""
+    name = f"lower(regexp_extract(p, {_literal(f'^{_TAG}</?({_NAME})')}, 1))"
+    step = f"""(s, p) -> if(startswith(p, '{_TAG}'), {_let("n", name, tag)}, {state("s.stack", "s.out || p")})"""
+    pieces = f"split(regexp_replace({html}, {_literal(_PIECES)}, '{_MARKED}'), '{_PIECE}')"
+    start = state("''", f"if({html} RLIKE '[{_PIECE}{_TAG}]', NULL, '')")
+    whole = f"if({bracket} AND s.stack <> '', NULL, replace(s.out || s.stack, '{_TAG}', ''))"
+    return f"aggregate({pieces}, {start}, {step}, s -> {whole})"
+
+
+def _read(html: str, noted: str) -> str:
+    """Pairs and notes of regular text without a strong tag in another one."""
+
+    def all_of(pattern: str) -> str:
+        return f"regexp_extract_all({html}, {_literal(pattern)}, 1)"
+
+    contents = f"if({noted}, {all_of(_NOTED_PAIR)}, {all_of(_PAIR)})"
+    pairs = "transform(ks, (k, i) -> named_struct('k', k, 'c', get(cs, i), 'i', i))"
+    notes = f"""if({noted}, transform({all_of(_NOTE_PAIR)}, (c, i) -> named_struct(
+      'k', 'note', 'c', c, 'i', i + size(ks))), array())"""
+    return _let("ks", all_of(f"(?is){_KEY}"), _let("cs", contents, f"concat({pairs}, {notes})"))
+
+
+def _contents() -> str:
+    def regular(html: str) -> str:
+        return f"{html} RLIKE {_literal(_REGULAR)}"
+
+    readable = _let("m", _mended("a.html"), f"if({regular('m')}, m, NULL)")
+    whole = f"if({regular('a.html')}, a.html, {readable})"
+    walked = f"if(h IS NULL OR h RLIKE {_literal(_STRONG_IN_STRONG)}, {_nested()}, {_read('h', 'a.noted')})"
+    return f"a -> {_let('h', whole, walked)}"
+
+
+_CONTENTS, _WALKED = _contents(), f"a -> {_nested()}"
 
 
 def nested_contents(html: Column, noted: Column) -> Column:
@@ -172,7 +282,12 @@ def nested_contents(html: Column, noted: Column) -> Column:
     a pair inside a later sibling so belongs to both.  Where the text is ``noted``, a note beside a pair ends
     it as well, and notes follow the pairs.
     """
-    return _apply(_NESTED, F.struct(html.alias("html"), noted.alias("noted")))
+    return _apply(_CONTENTS, F.struct(html.alias("html"), noted.alias("noted")))
+
+
+def walked_contents(html: Column, noted: Column) -> Column:
+    """``nested_contents`` by the walk over all tokens alone."""
+    return _apply(_WALKED, F.struct(html.alias("html"), noted.alias("noted")))
 
 
 # ---- character references ------------------------------------------------------------------------

@@ -102,6 +102,60 @@ def test_any_nesting_equals_a_tree(spark):
             assert got == [(TAG.sub("", k), c, n) for k, c, n in expected(texts[i], noted)], texts[i]
 
 
+def _odd_texts(chosen, count):
+    parts = (
+        "<p> </p> <div> </div> <i> </i> <strong> </strong> <strong>k:</strong> <STRONG>z</Strong~> <b>note:</b> "
+        "<b>Note:~x</b> <b> </b> <br> <hr> </u> v1 w2 < > <!--c--> <a~href='x>y'> </a> <a~href=\"x\"> "
+        "<script>a<b</script> </script> <x/> <strong~/> <strong~id=\"1\"> <a:b> </a:b> <b>a<br>note:</b> "
+        "<b~x>n<note:</b> <img~alt='<strong>'> </p~x> </br> <p~a/> \x01 \x02 note: \" ' \n <!d> <strongs> </strongs>"
+    ).split(" ")
+    for _ in range(count):
+        pool = parts[: 18 if chosen.random() < 0.5 else None]
+        yield "".join(chosen.choice(pool).replace("~", " ") for _ in range(chosen.randrange(1, 22)))
+
+
+def _closed_texts(chosen, count):
+    def inside(depth):
+        out = []
+        for _ in range(chosen.randrange(4)):
+            kind = chosen.random()
+            if kind < 0.3 or depth > K.DEPTH + 2:
+                out.append(chosen.choice(["v", "w ", "<br>", "< ", "x\n"]))
+            elif kind < 0.5:
+                out.append(f"<strong>k{inside(depth + 1) if chosen.random() < 0.2 else ':'}</strong>")
+            elif kind < 0.6:
+                out.append(chosen.choice(["<b>note:</b>", "<b>x</b>", "<b> NOTE: y</b>"]))
+            else:
+                name = chosen.choice(["p", "div", "b", "i", "td"])
+                out.append(f"<{name}>{inside(depth + 1)}</{name}>")
+        return "".join(out)
+
+    return [inside(0) + inside(1) + inside(0) for _ in range(count)]
+
+
+def test_patterns_read_what_the_walk_reads(spark):
+    chosen = random.Random(7)
+    texts = [*_odd_texts(chosen, 3000), *_closed_texts(chosen, 2000)]
+    deep = "<div>" * (K.DEPTH + 3) + "<strong>k:</strong> v" + "</div>" * (K.DEPTH + 3)
+    # a dropped end tag in a note; text that would become a tag without what is dropped behind it
+    texts += [deep, "<b>Note:</i>x</b> y", "<strong>k</strong> <</u>b>v", "<strong>k<", "<p><strong>k</strong> <i>v", "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    for noted in (False, True):
+        read = [f(F.col("t"), F.lit(noted)) for f in (K.nested_contents, K.walked_contents)]
+        for row in frame.select("i", read[0].alias("a"), read[1].alias("b")).collect():
+            # of a key only the text counts
+            patterns, walk = ([(TAG.sub("", k), c, n) for k, c, n in x or ()] for x in (row["a"], row["b"]))
+            assert patterns == walk, texts[row["i"]]
+
+
+def test_closed_and_mended_text_is_read_by_patterns(spark):
+    frame = spark.range(1).select(
+        F.expr(f"'<p><strong>k:</strong> <i>v</i></p>' RLIKE {K._literal(K._REGULAR)}"),
+        F.expr(K._mended("'<div><strong>k:</strong> <i>x</div></em> y<td>z'")),
+    )
+    assert tuple(frame.first()) == (True, "<div><strong>k:</strong> <i>x</i></div> y<td>z</td>")
+
+
 def test_flat_text_reads_the_same_either_way(spark):
     parts = ["<strong>k:</strong>", "<em>x</em>", "<b>note:</b>", "<br>", "<br />", "text ", "(2020) ", "<STRONG>a</STRONG>"]
     chosen = random.Random(6)
