@@ -46,7 +46,10 @@ def strip(text: Column) -> Column:
 
 
 def strip_end(text: Column) -> Column:
-    return F.rtrim(text, F.lit(WHITESPACE))
+    """Remove Unicode white space at the end; pass a named column."""
+    # trimming by a set of characters looks at the whole text; most texts end with a visible ASCII character
+    last = F.ascii(F.substring(text, -1, 1))
+    return F.when((last > 32) & (last < 127), text).otherwise(F.rtrim(text, F.lit(WHITESPACE)))
 
 
 def _split(text: Column, pattern: str, plain: str) -> Column:
@@ -70,7 +73,7 @@ def _behind(text: Column, pattern: str) -> Column:
 
 def strip_colons(text: Column) -> Column:
     """Remove all trailing colons, then white space."""
-    return strip(F.rtrim(strip(text), F.lit(":")))
+    return F.rtrim(F.rtrim(strip(text), F.lit(":")), F.lit(WHITESPACE))
 
 
 # a single plain space between words needs no replacement, so neither pattern matches it
@@ -82,12 +85,13 @@ _BREAK_OR_SPACE_RUN = (
 
 def collapse_whitespace(text: Column) -> Column:
     """Turn every run of white space into one space and strip the ends."""
-    return strip(F.regexp_replace(text, _SPACE_RUN, " "))
+    # only plain spaces are left, and those are trimmed at far less cost
+    return F.trim(F.regexp_replace(text, _SPACE_RUN, " "))
 
 
 def flat_text(html: Column) -> Column:
     """``collapse_whitespace`` with breaks counting as white space."""
-    return strip(F.regexp_replace(html, _BREAK_OR_SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(html, _BREAK_OR_SPACE_RUN, " "))
 
 
 def strip_tags(html: Column) -> Column:
