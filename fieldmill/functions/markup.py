@@ -181,17 +181,16 @@ def _item(depth: int, level: str, strongs: bool = True) -> str:
     Group names start with ``level``.  Without ``strongs`` no strong element may be in it.
     """
     not_raw = f"(?!(?:{'|'.join(RAW)})[\\s/>])"
-    void = f"(?:{'|'.join(VOID)})(?=[\\s/>])"
-    alone = f"<{not_raw}(?:{void}{_QUOTED}>|{_PLAIN_NAME}{_QUOTED}{_ALONE_END})"
+    by_letter = {a: "|".join(name[1:] for name in VOID if name[0] == a) for a in sorted({name[0] for name in VOID})}
+    void = f"(?:{'|'.join(f'{a}(?:{rest})' for a, rest in by_letter.items())})(?=[\\s/>])"
+    alone = f"{void}{_QUOTED}>|{_PLAIN_NAME}{_QUOTED}{_ALONE_END}"
     if depth < 0:
-        return f"{_PLAIN_TEXT}|{alone}"
+        return f"{_PLAIN_TEXT}|<(?=[a-z]){not_raw}(?:{alone})"
     no_strong = "" if strongs else r"(?!strong[\s>])"
     inner = _item(depth - 1, level, strongs)
     name = f"{level}{depth}"
-    element = (
-        f"<{not_raw}{no_strong}(?!{void})(?<{name}>{_PLAIN_NAME}){_QUOTED}{_OPEN_END}(?:{inner})*+</\\k<{name}>\\s*+>"
-    )
-    return f"{_PLAIN_TEXT}|{element}|{alone}"
+    element = f"{no_strong}(?!{void})(?<{name}>{_PLAIN_NAME}){_QUOTED}{_OPEN_END}(?:{inner})*+</\\k<{name}>\\s*+>"
+    return f"{_PLAIN_TEXT}|<(?=[a-z]){not_raw}(?:{element}|{alone})"
 
 
 _ITEM, _NO_STRONG_ITEM = _item(DEPTH - 1, "e"), _item(DEPTH - 1, "n", strongs=False)
