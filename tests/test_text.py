@@ -37,6 +37,15 @@ def test_split_is_whole_and_linear_on_long_text(spark):
     assert got == [f"part {i}" for i in range(20_000)]
 
 
+def test_every_white_space_is_trimmed(spark):
+    texts = [f"{c}{d}a{c} {d}b{d}{c}" for c in X.WHITESPACE for d in X.WHITESPACE] + ["é", "a\x7f", "b\x1f", ":", " : ", "a:: "]
+    squeezed = [" ".join(t.split()) for t in texts]
+    assert evaluate(spark, X.collapse_whitespace, texts) == squeezed
+    assert evaluate(spark, X.flat_text, [f"<br> {t}<br/> " for t in texts]) == squeezed
+    assert evaluate(spark, X.split_values, texts) == [[t.strip()] for t in texts]
+    assert evaluate(spark, X.strip_colons, texts) == [t.strip().rstrip(":").strip() for t in texts]
+
+
 def test_split_join_split_is_identity(spark):
     texts = ["a<br>b", "<br/> x <br> y<BR />z", "one", ""]
     again = lambda t: X.split_values(F.array_join(X.split_values(t), "<br>"))
