@@ -297,3 +297,29 @@ def test_snapshot_diff_moves_rows_once(spark):
         ("b", 0, "added", 1),
         ("b", 0, "unchanged", 1),
     ]
+
+
+def test_snapshot_diff_query_moves_fields_but_no_values(spark, tmp_path):
+    import duckdb
+
+    from workload.compare import difference
+    from workload.queries import QUERIES
+
+    # lines with and without keys, some of them twice
+    con, path = duckdb.connect(), tmp_path / "lineitem.parquet"
+    lines = """
+SELECT CASE WHEN i % 11 <> 5 THEN i // 3 END AS l_orderkey, CASE WHEN i % 13 <> 6 THEN i * 37 % 211 END AS l_partkey,
+  CAST(i % 7 + 1 AS INT) AS l_linenumber, CAST(i % 50 AS DOUBLE) AS l_quantity, i * 1.5::DOUBLE AS l_extendedprice,
+  CASE WHEN i % 17 <> 8 THEN (i % 10) / 100.0::DOUBLE END AS l_discount, substr('AN', 1 + i % 2, 1) AS l_returnflag,
+  TIMESTAMP '1994-03-01' + to_days(CAST(i AS INT)) AS l_shipdate FROM range(400) r(i)"""
+    con.execute(f"COPY ({lines} UNION ALL {lines} WHERE i % 4 = 1) TO '{path}' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}'")
+    plan = QUERIES["snapshot_diff"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    compared, sides = plan.split("Union", 1)
+    assert "Exchange" not in compared
+    # a side's one exchange is below all that reads its text
+    assert sides.count("Exchange") == 2 and sides.index("Generate") < sides.index("Exchange")
+    for name in ("snapshot_diff", "snapshot_diff_summary"):
+        assert difference(spark, con, name, str(tmp_path)) is None
+    seen = {(r.status, r.copies > 1) for r in QUERIES["snapshot_diff"](spark, str(tmp_path)).collect()}
+    assert {status for status, _ in seen} == {"added", "removed", "changed", "unchanged"} and ("unchanged", True) in seen

@@ -7,7 +7,10 @@ from the same bytes, everything after that is written twice.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _YEAR = "CAST(year(l_shipdate) AS STRING)"
 QUANTITY = (
@@ -350,15 +353,19 @@ def tasks_for(df: DataFrame) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-int(str(n_bytes)) // TASK_BYTES))
 
 
-def spread(df: DataFrame, name: str) -> DataFrame:
+def spread(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Deal rows over as many tasks as the size of the table asks for.
 
     The text work is the cost here, not the scan.  Splits of the scan do not tell how rows are dealt: a row
     group is read by one task, however many splits its file has, and a split has up to 128 MB.  So only a
     table of at least as many files as tasks keeps its partitions.  Rows are dealt by their unique key, which
     unlike a round robin needs no sort to be repeatable.
+
+    With ``by``, expressions in place of that key, rows that agree in them always meet in one task.
     """
     tasks = tasks_for(df)
+    if by:
+        return df.repartition(tasks, *[F.expr(expr) for expr in by])
     if df.rdd.getNumPartitions() >= tasks and len(df.inputFiles()) >= tasks:
         return df
     return df.repartition(tasks, *_ROW_KEYS[name])
@@ -369,10 +376,10 @@ def _outlined(expr: str) -> str:
     return f"get(transform(array(0), _ -> {expr}), 0)" if len(expr) > 500 else expr
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the inputs above as a DataFrame."""
+def derived(spark: SparkSession, sf_dir: str, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """One of the inputs above as a DataFrame; its rows are dealt ``by`` expressions with ``{column}`` in them."""
     source, columns, condition = _TABLE_OF[name]
-    df = spread(table(spark, sf_dir, source), source)
+    df = spread(table(spark, sf_dir, source), source, [expr.format(**columns) for expr in by])
     if condition:
         df = df.where(condition)
     return df.selectExpr(*[f"{_outlined(expr)} AS {alias}" for alias, expr in columns.items()])
